@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, read_table, work_path
+from .common import SPACE, staged, work_path
 
 
 def normalised(text: str = "text") -> Column:
@@ -64,38 +64,58 @@ def digest_state(spark: SparkSession, path: str, digest: Callable[[Column], Colu
     return changed.groupBy("digest").agg(F.min("first").alias("first"), F.max("group_size").alias("group_size"))
 
 
+def _maybe_in(keys: DataFrame, key: Column, words: int = 1 << 16) -> Column:
+    """A condition that holds where key is one of keys' column key, and seldom elsewhere: one bit for each of 64 * words hashes.
+
+    The bits are one array of a fixed size, gathered as a scalar subquery; with more keys than bits it lets everything through.
+    """
+    spark = keys.sparkSession
+    place = lambda k: F.pmod(k, F.lit(64 * words))
+    bits = keys.select(place(F.col("key")).alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))).alias("v"))
+    whole = spark.range(words).select(F.col("id").cast("int").alias("w")).join(bits, "w", "left").select("w", F.coalesce("v", F.lit(0).cast("long")).alias("v"))
+    packed = whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "v"))), lambda x: x["v"]).alias("bits"))
+    word = F.get(packed.scalar(), F.floor(place(key) / 64).cast("int"))
+    return F.getbit(word, F.pmod(place(key), F.lit(64)).cast("int")) == 1
+
+
 def exact_dedup(spark: SparkSession, path: str, digest: Callable[[Column], Column] = sha256, checkpoint: str | None = None) -> DataFrame:
-    """One row for each row of the documents at path: doc_id, file, row, digest, keep_id, group_size, kept.
+    """One row for each row of the documents at path: doc_id, file, row, digest, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after normalised(). Null and empty texts are equal. Of equal texts the row with the smallest
     doc_id is kept (null ids last); of rows that also share the doc_id, the first by file and row number. An empty table gives no
-    rows. Columns other than doc_id and text are not read.
+    rows. Columns other than doc_id and text are not read. Text is shuffled only for rows whose digest was seen more than once.
     """
+    out = "doc_id bigint, file string, row bigint, digest string, keep_id bigint, group_size bigint, kept boolean, text_sha256 string"
     if spark.read.parquet(path).isEmpty():
-        return spark.createDataFrame([], "doc_id bigint, file string, row bigint, digest string, keep_id bigint, group_size bigint, kept boolean, norm_digest string")
-    state = digest_state(spark, path, digest, checkpoint)
+        return spark.createDataFrame([], out)
+    state = staged(digest_state(spark, path, digest, checkpoint), "state")
     rows = _located(spark.read.parquet(path), digest)
-    # hits: rows of digests seen more than once; their first row's content is fetched by its place
-    many = state.where("group_size > 1")
-    first = many.select("digest", F.col("first.file").alias("file"), F.col("first.row").alias("row"))
-    content = rows.select("file", "row", F.col("norm").alias("content")).join(first, ["file", "row"]).select("digest", "content")
-    compared = rows.join(content, "digest").select("digest", "doc_id", "file", "row", "norm", (F.col("norm") == F.col("content")).alias("same"))
-    differing = compared.where("not same").select("digest").distinct()
-    # a digest of unlike texts: told apart by the text itself (never met with SHA-256)
-    unlike = rows.join(differing, "digest", "left_semi").groupBy("digest", "norm").agg(F.min(_first()).alias("first2"), F.count("*").alias("size2"))
-    split = rows.join(differing, "digest", "left_semi").join(unlike, ["digest", "norm"]).select("file", "row", "first2", "size2")
-    out = rows.select("doc_id", "file", "row", "digest", sha256(F.col("norm")).alias("norm_digest")).join(state, "digest")
-    out = out.join(split, ["file", "row"], "left")
-    first = F.coalesce("first2", "first")
-    return out.select(
-        "doc_id", "file", "row", "digest", first["doc_id"].alias("keep_id"), F.coalesce("size2", "group_size").alias("group_size"),
-        ((first["file"] == F.col("file")) & (first["row"] == F.col("row"))).alias("kept"), "norm_digest",
-    )
+    narrow = staged(rows.select("doc_id", "file", "row", "digest", sha256(F.col("norm")).alias("text_sha256")), "digests")
+    # hits: rows of digests seen more than once, each compared with the content at its digest's place
+    many = state.where("group_size > 1").select("digest", F.col("first.file").alias("first_file"), F.col("first.row").alias("first_row"))
+    leads = (F.col("file") == F.col("first_file")) & (F.col("row") == F.col("first_row"))
+    hits = staged(narrow.join(many, "digest").select("doc_id", "file", "row", "digest", leads.alias("leads")), "hits")
+    key = F.xxhash64("file", "row")
+    source = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), "text")
+    content = source.where(_maybe_in(hits.select(key.alias("key")), key)).join(hits, ["file", "row"]).withColumn("norm", normalised())
+    first = content.where("leads").select("digest", F.col("norm").alias("first_norm"))
+    unlike = content.where("not leads").join(first, "digest").where("norm != first_norm").select("digest").distinct()
+    unlike = staged(unlike, "unlike")
+    joined = narrow.join(state, "digest")
+    if unlike.isEmpty():
+        joined = joined.select("*", F.col("first").alias("lead"), F.col("group_size").alias("n"))
+    else:  # a digest of unlike texts (never met with SHA-256): told apart by the text itself
+        apart = content.join(unlike, "digest", "left_semi")
+        groups = apart.groupBy("digest", "norm").agg(F.min(_first()).alias("first2"), F.count("*").alias("size2"))
+        apart = apart.join(groups, ["digest", "norm"]).select("file", "row", "first2", "size2")
+        joined = joined.join(apart, ["file", "row"], "left").select("*", F.coalesce("first2", "first").alias("lead"), F.coalesce("size2", "group_size").alias("n"))
+    kept = (F.col("lead.file") == F.col("file")) & (F.col("lead.row") == F.col("row"))
+    return joined.select("doc_id", "file", "row", "digest", F.col("lead.doc_id").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), "text_sha256")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(spark, f"{sf_dir}/documents.parquet")
-    return out.select("doc_id", "keep_id", "group_size", "kept", F.col("norm_digest").alias("text_sha256"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 OP6_SQL = """
