@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup
+from . import exact_dedup, line_dedup, mixing, packing, tokens
 
 _QUERIES = {
     "op2_line_dedup": (line_dedup.op2_line_dedup, line_dedup.OP2_SQL),
+    "op4_token_counts": (tokens.op4_token_counts, None),
+    "op5_best_fit_packing": (packing.op5_best_fit_packing, None),
     "op6_exact_dedup": (exact_dedup.op6_exact_dedup, exact_dedup.OP6_SQL),
+    "op9_source_mixing": (mixing.op9_source_mixing, mixing.OP9_SQL),
 }
 
 
