@@ -43,9 +43,14 @@ def digest_state(spark: SparkSession, path: str, digest: Callable[[Column], Colu
     """
     schema = spark.read.parquet(path).schema
     at = checkpoint or work_path(spark, "digests")
-    key = "spark.sql.streaming.stateStore.providerClass"
-    held = spark.conf.get(key, None)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own = {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # many small stores: no megabytes set aside for each
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    }
+    held = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         # the stream source takes a single file only as a glob; this one matches path alone
         path = path.rstrip("/")
@@ -58,7 +63,8 @@ def digest_state(spark: SparkSession, path: str, digest: Callable[[Column], Colu
         q = state.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{at}/stream").trigger(availableNow=True).start()
         q.awaitTermination()
     finally:
-        spark.conf.unset(key) if held is None else spark.conf.set(key, held)
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     changed = spark.read.schema("digest string, first struct<none boolean, doc_id bigint, file string, row bigint>, group_size bigint").parquet(f"{at}/changed")
     # the smallest first row and the largest count are the latest ones
     return changed.groupBy("digest").agg(F.min("first").alias("first"), F.max("group_size").alias("group_size"))
