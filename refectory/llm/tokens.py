@@ -16,7 +16,7 @@ from .common import read_table
 #: str.split() also takes these for white space; tokenizers' \s does not, so texts that hold one are encoded whole.
 ODD = re.compile("[\x1c-\x1f]")
 #: Entries a worker keeps before it starts anew.
-CACHE = 400_000
+CACHE = 800_000
 
 
 def word_tokenizer() -> str:
@@ -42,10 +42,11 @@ class PreTokens:
         return [self.value(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, chunks: Iterable[str]) -> None:
-        new = list(set(chunks) - self.cache.keys())
+        chunks = set(chunks)
+        new = [x for x in chunks if x not in self.cache]
         if len(self.cache) - len(self.known) + len(new) > CACHE:
             self.cache = dict(self.known)
-            new = list(set(chunks) - self.cache.keys())
+            new = [x for x in chunks if x not in self.cache]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             self.cache.update(zip(part, self.encode(part), strict=True))
