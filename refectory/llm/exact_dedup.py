@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, staged, work_path
+from .common import SPACE, maybe_in, staged, work_path
 
 
 def normalised(text: str = "text") -> Column:
@@ -70,20 +70,6 @@ def digest_state(spark: SparkSession, path: str, digest: Callable[[Column], Colu
     return changed.groupBy("digest").agg(F.min("first").alias("first"), F.max("group_size").alias("group_size"))
 
 
-def _maybe_in(keys: DataFrame, key: Column, words: int = 1 << 16) -> Column:
-    """A condition that holds where key is one of keys' column key, and seldom elsewhere: one bit for each of 64 * words hashes.
-
-    The bits are one array of a fixed size, gathered as a scalar subquery; with more keys than bits it lets everything through.
-    """
-    spark = keys.sparkSession
-    place = lambda k: F.pmod(k, F.lit(64 * words))
-    bits = keys.select(place(F.col("key")).alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))).alias("v"))
-    whole = spark.range(words).select(F.col("id").cast("int").alias("w")).join(bits, "w", "left").select("w", F.coalesce("v", F.lit(0).cast("long")).alias("v"))
-    packed = whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "v"))), lambda x: x["v"]).alias("bits"))
-    word = F.get(packed.scalar(), F.floor(place(key) / 64).cast("int"))
-    return F.getbit(word, F.pmod(place(key), F.lit(64)).cast("int")) == 1
-
-
 def exact_dedup(spark: SparkSession, path: str, digest: Callable[[Column], Column] = sha256, checkpoint: str | None = None) -> DataFrame:
     """One row for each row of the documents at path: doc_id, file, row, digest, keep_id, group_size, kept, text_sha256.
 
@@ -103,7 +89,7 @@ def exact_dedup(spark: SparkSession, path: str, digest: Callable[[Column], Colum
     hits = staged(narrow.join(many, "digest").select("doc_id", "file", "row", "digest", leads.alias("leads")), "hits")
     key = F.xxhash64("file", "row")
     source = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), "text")
-    content = source.where(_maybe_in(hits.select(key.alias("key")), key)).join(hits, ["file", "row"]).withColumn("norm", normalised())
+    content = source.where(maybe_in(hits.select(key.alias("key")), key)).join(hits, ["file", "row"]).withColumn("norm", normalised())
     first = content.where("leads").select("digest", F.col("norm").alias("first_norm"))
     unlike = content.where("not leads").join(first, "digest").where("norm != first_norm").select("digest").distinct()
     unlike = staged(unlike, "unlike")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, lm, mixing, packing, tokens, toxicity
+from . import exact_dedup, jaccard, line_dedup, lm, mixing, packing, tokens, toxicity
 
 _QUERIES = {
     "op1_toxicity": (toxicity.op1_toxicity, None),
     "op2_line_dedup": (line_dedup.op2_line_dedup, line_dedup.OP2_SQL),
+    "op3_ngram_jaccard": (jaccard.op3_ngram_jaccard, None),
     "op4_token_counts": (tokens.op4_token_counts, None),
     "op5_best_fit_packing": (packing.op5_best_fit_packing, None),
     "op6_exact_dedup": (exact_dedup.op6_exact_dedup, exact_dedup.OP6_SQL),
