@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +26,15 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: What a chunk is stripped of before its letters are looked up.
+PUNCTUATION = ".,;:!?\"'()"
+
+
 class PreTokens:
-    """Values of pre-tokens (runs between white space), by a tokenizer that drops white space and never joins across it.
+    """Values of chunks (runs between white space), by a tokenizer that drops white space, lower-cases and splits letters from the rest.
 
-    known: values given beforehand, which stay. Others are encoded once and kept until CACHE of them are there.
+    known: values given beforehand, which stay. Others are encoded once and kept until CACHE of them are there. Values add up: a
+    chunk of letters with punctuation around is the sum of its parts, so that a word is encoded once for all its forms.
     """
 
     def __init__(self, path: str, value, known: dict | None = None):
@@ -36,23 +42,66 @@ class PreTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.value, self.known = Tokenizer.from_file(path), value, known or {}
-        self.cache = dict(self.known)
+        self.cache, self.words = dict(self.known), {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
 
     def encode(self, texts: list[str]) -> list:
         return [self.value(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def encode_words(self, words: list[str]) -> list:
+        """Values of words of letters only: encoded together, and told apart by the tokens that end a word."""
+        out = []
+        for at in range(0, len(words), 1000):
+            part = words[at : at + 1000]
+            ids = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):  # not one run of tokens for each word
+                out += self.encode(part)
+            else:
+                ends = ends.tolist()
+                out += [self.value(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        return out
+
     def learn(self, chunks: Iterable[str]) -> None:
         chunks = set(chunks)
         new = [x for x in chunks if x not in self.cache]
-        if len(self.cache) - len(self.known) + len(new) > CACHE:
-            self.cache = dict(self.known)
+        if len(self.cache) - len(self.known) + len(self.words) + len(new) > CACHE:
+            self.cache, self.words = dict(self.known), {}
             new = [x for x in chunks if x not in self.cache]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
+        split, whole, words, rest = [], [], set(), set()
+        for x in new:
+            word = x.strip(PUNCTUATION)
+            # below U+0130 letters are lower-cased one by one and need no normalisation
+            if word.isalpha() and (word.isascii() or max(word) < "\u0130"):
+                i = x.index(word)
+                if "'" not in x[:i]:  # else it may join the letters
+                    lead, low, trail = x[:i], word.lower(), x[i + len(word) :]
+                    split.append((x, lead, low, trail))
+                    words.add(low)
+                    rest.update((lead, trail))
+                    continue
+            whole.append(x)
+        for group, encode in ((words, self.encode_words), (rest, self.encode)):
+            group = [x for x in group if x not in self.words]
+            self.words.update(zip(group, encode(group), strict=True))
+        own = self.words
+        self.cache.update((x, own[a] + own[b] + own[c]) for x, a, b, c in split)
+        for at in range(0, len(whole), 4096):
+            part = whole[at : at + 4096]
             self.cache.update(zip(part, self.encode(part), strict=True))
 
     def of(self, texts: list[str | None]) -> Iterator[list]:
         """For each text the values of its pre-tokens, in order; one value where it is encoded whole."""
+        waiting: list[str] = []
+        for text in texts:  # the misses of many texts are encoded together
+            if text and not ODD.search(text):
+                waiting += [x for x in text.split() if x not in self.cache]
+                if len(waiting) > CACHE // 4:
+                    break
+        if waiting:
+            self.learn(waiting)
         for text in texts:
             if not text:
                 yield []
@@ -63,17 +112,12 @@ class PreTokens:
                 try:
                     yield [self.cache[x] for x in chunks]
                 except KeyError:
-                    for at in range(0, len(chunks), CACHE // 2):
-                        self.learn(chunks[at : at + CACHE // 2])
-                    if len(chunks) <= CACHE // 2:
-                        yield [self.cache[x] for x in chunks]
-                    else:  # more than the cache holds: part by part
-                        out = []
-                        for at in range(0, len(chunks), CACHE // 2):
-                            part = chunks[at : at + CACHE // 2]
-                            self.learn(part)
-                            out += [self.cache[x] for x in part]
-                        yield out
+                    out = []
+                    for at in range(0, len(chunks), CACHE // 4):  # no more at once than the cache holds
+                        part = chunks[at : at + CACHE // 4]
+                        self.learn(part)
+                        out += [self.cache[x] for x in part]
+                    yield out
 
 
 _WORKER: dict = {}
