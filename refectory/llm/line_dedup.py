@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from hashlib import blake2b
 
 import numpy as np
@@ -67,8 +67,8 @@ def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch[c] for c in kept] + list(cols.values()), names=kept + list(cols))
 
 
-def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """docs (doc_id, text, ...) -> doc_id, kept_text, n_lines, n_dropped, one row for each row.
+def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: Sequence[str] = ()) -> DataFrame:
+    """docs (doc_id, text, ...) -> doc_id, those of keep, kept_text, n_lines, n_dropped, one row for each row.
 
     A line's key is the line without white space ([\\x20\\x09-\\x0D]) at its ends and with A-Z lower-cased. Keys of at least
     min_chars code points found in at least min_docs rows lose all their lines. A null or empty text is one empty line and stays
@@ -76,12 +76,13 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     aren't read. Lines are counted by 128-bit hashes: a row for each line goes through the shuffle, without its text, and the sum
     per hash is pre-aggregated; the join that finds their places is one Spark may split where a line is very common.
     """
-    keyed = docs.select("doc_id", "text", *row_key("doc_id", "text"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep, *row_key("doc_id", "text"))
     occ = staged(keyed.select("k1", "k2", "text").mapInArrow(_explode(min_chars), "k1 long, k2 long, pos int, h1 long, h2 long, first tinyint"), "lines")
     common = occ.groupBy("h1", "h2").agg(F.sum("first").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
     gone = occ.join(common, ["h1", "h2"], "left_semi").groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
-    joined = keyed.join(gone, ["k1", "k2"], "left").select("doc_id", "text", "gone")
-    return joined.mapInArrow(_reassemble, "doc_id long, kept_text string, n_lines long, n_dropped long")
+    joined = keyed.join(gone, ["k1", "k2"], "left").select("doc_id", *keep, "text", "gone")
+    own = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return joined.mapInArrow(_reassemble, f"doc_id long, {own}kept_text string, n_lines long, n_dropped long")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

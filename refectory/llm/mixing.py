@@ -40,6 +40,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     return fill.select("source", "source_size", "nth", target.alias("target"))
 
 
+def word_count(text: str) -> Column:
+    """Number of words [^\\x20\\x09-\\x0D]+; null: 0."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def _spread(df: DataFrame, by: str, part: Column, order: list, total: str | None = None) -> DataFrame:
     """Adds `before`: per value of by, the number of rows (or the sum of total) ahead in the order (part, *order).
 
@@ -98,7 +103,7 @@ def mix(docs: DataFrame, block: int = 1024, weights: tuple[int, ...] = (3, 1, 2)
     doc_id, so reruns agree; rows of the same doc_id and size stand for each other. Null sources are one source, the last. An empty
     table gives no rows, and if no text has words, everything is 0.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count("text").alias("size"))
     rows = staged(rows.withColumn("turn", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))), "sizes")
     sources = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     sources = staged(sources.withColumn("quota", F.round("target").cast("long")), "targets")

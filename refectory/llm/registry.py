@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import embedding_dedup, exact_dedup, jaccard, line_dedup, lm, mixing, packing, tokens, toxicity
 
 _QUERIES = {
@@ -18,8 +20,9 @@ _QUERIES = {
 
 
 def queries() -> dict:
-    return {k: f for k, (f, _) in _QUERIES.items()}
+    return {k: f for k, (f, _) in _QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: q for k, (_, q) in _QUERIES.items() if q}
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {k: q for k, (_, q) in _QUERIES.items() if q} | own

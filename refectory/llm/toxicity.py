@@ -235,6 +235,17 @@ def score(docs: DataFrame, model: ToxicityModel, max_chance: float = 0.05) -> Da
     return own.mapInArrow(run, "doc_id long, n_words long, score double, segments array<struct<start: long, end: long, score: double, expected: double>>")
 
 
+def keep_below(docs: DataFrame, model: ToxicityModel, threshold: float) -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores below threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [probability(*text_segments(t, model), model) < threshold for t in batch["text"].to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(col: str = "doc_id", n: int = 4, rest: int = 2) -> Column:
     """Whether crc32 of the id as text leaves this remainder; null ids aren't held out."""
     return F.coalesce(crc_fold(col, n) == rest, F.lit(False))
