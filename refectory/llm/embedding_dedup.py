@@ -1,7 +1,7 @@
 """Embedding near-duplicates by a robust-pruned flat graph.
 
 Vectors are dealt to their nearest clusters, two each, so that shards overlap. In each shard a flat graph is built: every vector keeps
-those near neighbours that none of the kept ones covers (robust pruning). Searches start at the shard's medoids, go greedily to the
+those near neighbours that none of the kept ones covers (robust pruning). Searches start at the shard's medoids and the query's own place, go greedily to the
 query's surroundings, and expand from every vector in range until no new one is met. The adjacency lists of all shards together carry
 searches on into shards that query and result don't share. Recall is measured against brute force, and every link is verified.
 """
@@ -47,12 +47,16 @@ def pruned_graph(sims: np.ndarray, degree: int, alpha: float, near: int, seed: i
     return adjacent
 
 
-def range_search(sims: np.ndarray, adjacent: np.ndarray, starts: np.ndarray, threshold: float, steps: int) -> np.ndarray:
-    """For each query (row of sims) the indexed vectors in range that the search meets, as a boolean matrix."""
+def range_search(sims: np.ndarray, adjacent: np.ndarray, starts: np.ndarray, own: np.ndarray, threshold: float, steps: int) -> np.ndarray:
+    """For each query (row of sims) the indexed vectors in range that the search meets, as a boolean matrix.
+
+    Searches start at `starts`, and at the query's own place in the graph (own; -1 where it has none).
+    """
     n, m = sims.shape
     rows = np.arange(n)
     seen, done = np.zeros((n, m), bool), np.zeros((n, m), bool)
     seen[:, starts] = True
+    seen[rows[own >= 0], own[own >= 0]] = True
     best = np.where(seen, sims, -2.0)  # similarity of what is seen and not expanded
     for _ in range(min(steps, m)):
         at = best.argmax(1)
@@ -94,7 +98,7 @@ def _search(threshold: float, degree: int, alpha: float, near: int, steps: int):
         middle = index @ index.mean(0)
         starts = np.unique(np.concatenate([[middle.argmax()], np.linspace(0, m - 1, min(4, m)).astype(int)]))
         asks = np.flatnonzero(query)
-        found = range_search(sims[asks] if (asks < m).all() else vectors[asks] @ index.T, adjacent, starts, threshold, steps)
+        found = range_search(sims[asks] if (asks < m).all() else vectors[asks] @ index.T, adjacent, starts, np.where(asks < m, asks, -1), threshold, steps)
         q, x = np.nonzero(found)
         q = asks[q]
         keep = node[q] != node[x]
