@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
@@ -112,7 +113,7 @@ def _jaro(a: str, b: str) -> float:
     return (m / la + m / lb + (m - moved) / m) / 3
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity with prefix weight 0.1 and at most 4 characters, from a Jaro similarity of 0.7; null with null."""
     out = []

@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-def registration_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
-    return t("orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+from .plans import maintenance, tracking  # noqa: F401  they register themselves
+from .plans.base import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return {"registration_status_counts": registration_status_counts}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"registration_status_counts": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY ALL"}
+    return dict(SQL)
