@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import embedding_dedup, exact_dedup, jaccard, line_dedup, lm, mixing, packing, tokens, toxicity
+from . import embedding_dedup, exact_dedup, jaccard, line_dedup, lm, mixing, packing, suffix_dedup, tokens, toxicity
 
 _QUERIES = {
     "op1_toxicity": (toxicity.op1_toxicity, None),
@@ -13,6 +13,7 @@ _QUERIES = {
     "op4_token_counts": (tokens.op4_token_counts, None),
     "op5_best_fit_packing": (packing.op5_best_fit_packing, None),
     "op6_exact_dedup": (exact_dedup.op6_exact_dedup, exact_dedup.OP6_SQL),
+    "op7_suffix_dedup": (suffix_dedup.op7_suffix_dedup, None),
     "op8_embedding_dedup": (embedding_dedup.op8_embedding_dedup, None),
     "op10_lm_scoring": (lm.op10_lm_scoring, None),
     "op9_source_mixing": (mixing.op9_source_mixing, mixing.OP9_SQL),
