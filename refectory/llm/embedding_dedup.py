@@ -1,6 +1,6 @@
 """Embedding near-duplicates by a robust-pruned flat graph.
 
-Vectors are dealt to their nearest clusters, two each, so that shards overlap. In each shard a flat graph is built: every vector keeps
+Vectors are dealt to their nearest clusters, several each, so that shards overlap. In each shard a flat graph is built: every vector keeps
 those near neighbours that none of the kept ones covers (robust pruning). Searches start at the shard's medoids and the query's own place, go greedily to the
 query's surroundings, and expand from every vector in range until no new one is met. The adjacency lists of all shards together carry
 searches on into shards that query and result don't share. Recall is measured against brute force, and every link is verified.
@@ -84,7 +84,7 @@ def _search(threshold: float, degree: int, alpha: float, near: int, steps: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         own = table["own"].to_numpy()
         vectors, node = _matrix(table["vec"]), table["node"].to_numpy()
-        shards = np.stack([table["s1"].to_numpy(), table["s2"].to_numpy()], 1)
+        shards = np.asarray(table["near"].combine_chunks().flatten()).reshape(len(node), -1)
         query = table["asks"].to_numpy()
         order = np.lexsort((node, ~own))
         vectors, node, shards, own, query = (v[order] for v in (vectors, node, shards, own, query))
@@ -104,7 +104,7 @@ def _search(threshold: float, degree: int, alpha: float, near: int, steps: int):
         keep = node[q] != node[x]
         q, x = q[keep], x[keep]
         a, b = shards[q], shards[x]
-        cross = ~((b == a[:, :1]) | (b == a[:, 1:])).all(1)
+        cross = ~(b[:, :, None] == a[:, None, :]).any(2).all(1)
         e, f = np.repeat(np.arange(m), adjacent.shape[1]), adjacent.ravel()
         keep = e != f
         e, f = node[e[keep]], node[f[keep]]
@@ -131,7 +131,7 @@ def _nearest(centres: np.ndarray, n: int):
         for batch in batches:
             v = _matrix(batch["vec"])
             near = np.argsort(-(v @ centres.T), axis=1, kind="stable")[:, :n] if len(v) else np.zeros((0, n), int)
-            yield pa.record_batch([batch["node"], batch["vec"], pa.array(near[:, 0].astype(np.int32)), pa.array(near[:, -1].astype(np.int32))], names=["node", "vec", "s1", "s2"])
+            yield pa.record_batch([batch["node"], batch["vec"], pa.array(list(near.astype(np.int32)), pa.list_(pa.int32()))], names=["node", "vec", "near"])
 
     return run
 
@@ -152,12 +152,12 @@ def _brute(ids: np.ndarray, vectors: np.ndarray, threshold: float):
     return run
 
 
-def near_pairs(classes: DataFrame, threshold: float, shard_rows: int = 1500, most_rows: int = 2500, sample: int = 20_000, degree: int = 24, alpha: float = 1.2, near: int = 64, steps: int = 64, audit: int = 400, least_recall: float = 0.97) -> tuple[DataFrame, float]:
+def near_pairs(classes: DataFrame, threshold: float, overlap: int = 4, shard_rows: int = 600, most_rows: int = 2800, sample: int = 20_000, degree: int = 24, alpha: float = 1.2, near: int = 64, steps: int = 64, audit: int = 400, least_recall: float = 0.97) -> tuple[DataFrame, float]:
     """classes (node, vec: unit vectors of one length) -> pairs (q, x) with q < x and cosine >= threshold, and the recall measured.
 
     sample: vectors that the cluster centres are fitted on. A shard of more than most_rows is cut into parts; each vector is still
     searched in all parts of its shards. audit: queries, of smallest hash, that are also compared with every vector; below
-    least_recall the search is done again with twice the steps and candidates, three times at most.
+    least_recall the search is done again with more shards for each vector, steps and candidates, three times at most.
     """
     n = classes.count()
     if n < 2:
@@ -165,28 +165,29 @@ def near_pairs(classes: DataFrame, threshold: float, shard_rows: int = 1500, mos
     picked = classes.orderBy(F.xxhash64("node"), "node").limit(sample).toArrow()
     vectors = _matrix(picked["vec"])
     k = max(1, min(n // shard_rows, len(vectors) // 8))
-    dealt = staged(classes.mapInArrow(_nearest(_centres(vectors, k), min(2, k)), "node long, vec array<double>, s1 int, s2 int"), "shards")
-    members = dealt.select("node", "vec", "s1", "s2", F.explode(F.array_distinct(F.array("s1", "s2"))).alias("shard"))
-    parts = members.groupBy("shard").agg(F.ceil(F.count("*") / most_rows).cast("int").alias("parts"))
+    centres = _centres(vectors, k)
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    members = members.join(F.broadcast(parts), "shard") if k <= 4096 else members.join(parts, "shard")
-    # a row for each pair of an indexed part and a part of queries that it is in on either side
-    members = members.withColumn("mine", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    as_index = members.select("node", "vec", "s1", "s2", "shard", F.col("mine").alias("i"), F.col("other").alias("j"), F.lit(True).alias("own"), (F.col("mine") == F.col("other")).alias("asks"))
-    as_query = members.where("mine != other").select("node", "vec", "s1", "s2", "shard", F.col("other").alias("i"), F.col("mine").alias("j"), F.lit(False).alias("own"), F.lit(True).alias("asks"))
-    tasks = as_index.unionByName(as_query)
     recall = 0.0
     for attempt in range(3):
+        n_near = min(overlap + 2 * attempt, k)
+        dealt = staged(classes.mapInArrow(_nearest(centres, n_near), "node long, vec array<double>, near array<int>"), "shards")
+        members = dealt.select("node", "vec", "near", F.explode("near").alias("shard"))
+        parts = members.groupBy("shard").agg(F.ceil(F.count("*") / most_rows).cast("int").alias("parts"))
+        # a row for each pair of an indexed part and a part of queries that it is in on either side
+        members = members.join(parts, "shard").withColumn("mine", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        as_index = members.select("node", "vec", "near", "shard", F.col("mine").alias("i"), F.col("other").alias("j"), F.lit(True).alias("own"), (F.col("mine") == F.col("other")).alias("asks"))
+        as_query = members.where("mine != other").select("node", "vec", "near", "shard", F.col("other").alias("i"), F.col("mine").alias("j"), F.lit(False).alias("own"), F.lit(True).alias("asks"))
+        tasks = as_index.unionByName(as_query)
         found = staged(tasks.groupBy("shard", "i", "j").applyInArrow(_search(threshold, degree, alpha, near << attempt, steps << attempt), FOUND), "found")
         pair = [F.least("q", "x").alias("q"), F.greatest("q", "x").alias("x")]
         pairs = staged(found.where("not edge").select(*pair).distinct(), "pairs")
         edges = found.where("edge").select(F.col("q").alias("x"), F.col("x").alias("y")).distinct()
-        vec = dealt.select("node", "vec", "s1", "s2")
+        vec = dealt.select("node", "vec")
         ahead = found.where("cross").select("q", "x").distinct()
         while True:  # on into shards that query and result don't share, by the union of the adjacency lists
             reached = ahead.join(edges, "x").where("q != y").select(F.col("q"), F.col("y").alias("x")).select(*pair).distinct().join(pairs, ["q", "x"], "left_anti")
-            both = reached.join(vec.select(F.col("node").alias("q"), F.col("vec").alias("va"), F.col("s1").alias("a1"), F.col("s2").alias("a2")), "q")
-            both = both.join(vec.select(F.col("node").alias("x"), F.col("vec").alias("vb"), F.col("s1").alias("b1"), F.col("s2").alias("b2")), "x")
+            both = reached.join(vec.select(F.col("node").alias("q"), F.col("vec").alias("va")), "q")
+            both = both.join(vec.select(F.col("node").alias("x"), F.col("vec").alias("vb")), "x")
             new = staged(both.select("q", "x", "va", "vb").mapInArrow(_cosines, "q long, x long, cos double").where(F.col("cos") >= threshold).select("q", "x"), "reached")
             if new.isEmpty():
                 break
