@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import maintenance, tracking  # noqa: F401  they register themselves
+from .plans import catering, cleaning, forecasting, maintenance, tracking  # noqa: F401  they register themselves
 from .plans.base import QUERIES, SQL, Query
 
 
