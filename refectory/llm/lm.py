@@ -23,7 +23,7 @@ from .common import crc_fold, read_table, row_key, staged, words_of
 DEPTH = 5
 END = b"\xff"  # in no UTF-8 text
 #: At most this many of the most frequent words and byte strings are sent to all tasks; the others are joined.
-SENT_WORDS, SENT_GRAMS = 1 << 18, 1 << 20
+SENT_WORDS, SENT_GRAMS = 1 << 19, 1 << 22
 
 
 def byte_grams(words: list[list[bytes]], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -38,7 +38,7 @@ def byte_grams(words: list[list[bytes]], depth: int = DEPTH) -> tuple[np.ndarray
     return gram[at], n
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int = 4_000_000) -> Iterator[tuple[list[list[bytes]], list[bool], list]]:
+def _chunks(batches: Iterator[pa.RecordBatch], size: int = 2_000_000) -> Iterator[tuple[list[list[bytes]], list[bool], list]]:
     """Texts by a few megabytes: words, whether held out, row keys."""
     words, held, keys, n = [], [], [], 0
     for batch in batches:
@@ -82,13 +82,13 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, n = byte_grams(words)
         u, inverse = np.unique(gram, return_inverse=True)
         waiting.append((u, np.bincount(inverse, np.repeat(~np.array(held, bool), n).astype(np.float64), len(u)).astype(np.int64)))
-        if sum(len(x) for x, _ in waiting) > 3_000_000:
+        if sum(len(x) for x, _ in waiting) > 1_500_000:
             grams, ns = merged()
             waiting.clear()
-        if len(grams) > 3_000_000:
+        if len(grams) > 2_000_000:
             yield from out_grams()
             grams, ns = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(counts) > 500_000:
+        if len(counts) > 300_000:
             yield from out_words()
     yield from out_words()
     if waiting:
@@ -162,20 +162,21 @@ def _scored(sent_words, sent_grams, base: float):
                         wk.append(key), ww.append(x), wn.append(n)
                 w.pop()
             gram, n = byte_grams(words)
+            gram, inverse = np.unique(gram, return_inverse=True)
             at = np.searchsorted(gram_keys, gram)
             at[at == len(gram_keys)] = 0
             hit = gram_keys[at] == gram if len(gram_keys) else np.zeros(len(gram), bool)
-            logs = np.where(hit, gram_logs[at] if len(gram_keys) else 0.0, 0.0)
+            logs = np.where(hit, gram_logs[at], 0.0) if len(gram_keys) else np.zeros(len(gram))
             doc = np.repeat(np.arange(len(words)), n)
-            score = np.bincount(doc, logs, len(words))
+            score = np.bincount(doc, logs[inverse], len(words))
             k1, k2 = (np.array([k[i] for k in keys], np.int64) for i in (0, 1))
             yield rows(len(words), k1=pa.array(k1), k2=pa.array(k2), n_tokens=n_tokens, n_known=n_known, base_score=base_score, score=pa.array(score))
             if ww:
                 for i in range(0, len(ww), 100_000):
                     yield rows(len(ww[i : i + 100_000]), k1=[k[0] for k in wk[i : i + 100_000]], k2=[k[1] for k in wk[i : i + 100_000]], word=ww[i : i + 100_000], n=wn[i : i + 100_000])
             if not hit.all():
-                rest = np.flatnonzero(~hit)
-                pairs = np.stack([doc[rest], gram[rest]], 1)
+                rest = np.flatnonzero(~hit[inverse])
+                pairs = np.stack([doc[rest], gram[inverse[rest]]], 1)
                 pairs, many = np.unique(pairs, axis=0, return_counts=True)
                 yield rows(len(pairs), k1=pa.array(k1[pairs[:, 0]]), k2=pa.array(k2[pairs[:, 0]]), gram=pa.array(pairs[:, 1]), n=pa.array(many))
 
@@ -188,7 +189,7 @@ def lm_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     Trained on rows for which held_out is false or null. Tokens are words [^\\x20\\x09-\\x0D]+ with A-Z lower-cased, then one end; a
     null or empty text is only the end. base_score: log10 of the add-one unigram model; score: log10 of the context-tree model's
     probability of the text's byte sequence. With no training text, counts are all 0. Rows that repeat another (same id and text) each
-    get the same values. Other columns aren't read. Words and byte strings that make up more than a 2^18th or 2^20th of all go to all
+    get the same values. Other columns aren't read. Words and byte strings that make up a 2^19th or 2^22nd of all at least go to all
     tasks (so never more than that many), the others are joined by shuffles.
     """
     spark = docs.sparkSession
@@ -208,21 +209,18 @@ def lm_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     order = np.argsort(g := top["gram"].to_numpy())
     sent_grams = spark.sparkContext.broadcast((g[order], top["log10_p"].to_numpy()[order]))
     out = staged(pieces.mapInArrow(_scored(sent_words, sent_grams, lost), "k1 long, k2 long, n_tokens long, n_known long, base_score double, score double, word binary, gram long, n long"), "scored")
-    rare_words = out.where("word is not null").select("k1", "k2", "word", F.col("n").alias("times")).join(words, "word", "left")
+    # a row and its repetitions emit the same rare words: the sums are divided by how many such rows there are
+    whole = out.where("n_tokens is not null").groupBy("k1", "k2").agg(*(F.first(x).alias(x) for x in ("n_tokens", "n_known", "base_score", "score")), F.count("*").alias("rows"))
     c = F.coalesce("n", F.lit(0))
-    rare_words = rare_words.select("k1", "k2", F.when(c > 0, F.col("times")).otherwise(0).alias("n_known"), (F.col("times") * (F.log10(c + 1) - lost)).alias("base_score"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("n_tokens"))
+    rare_words = out.where("word is not null").select("k1", "k2", "word", F.col("n").cast("int").alias("times")).join(words, "word", "left")
+    rare_words = rare_words.groupBy("k1", "k2").agg(F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * (F.log10(c + 1) - lost)).alias("more_base"))
     rare_grams = out.where("gram is not null").select("k1", "k2", "gram", F.col("n").alias("times")).join(model.select("gram", "log10_p"), "gram")
-    rare_grams = rare_grams.select("k1", "k2", F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base_score"), (F.col("times") * F.col("log10_p")).alias("score"), F.lit(0).cast("long").alias("n_tokens"))
-    whole = out.where("n_tokens is not null").select("k1", "k2", "n_known", "base_score", "score", "n_tokens").dropDuplicates(["k1", "k2"])
-    # a row and its repetitions emit the same rare words: each is counted as often as the row is there
-    times = keyed.select("k1", "k2", "doc_id", "held_out")
-    sums = rare_words.unionByName(rare_grams).groupBy("k1", "k2").agg(*(F.sum(x).alias(x) for x in ("n_known", "base_score", "score")))
-    there = out.where("n_tokens is not null").groupBy("k1", "k2").agg(F.count("*").alias("rows"))
-    sums = sums.join(there, ["k1", "k2"]).select("k1", "k2", *(((F.col(x) / F.col("rows")).cast("long") if x == "n_known" else F.col(x) / F.col("rows")).alias(f"rare_{x}") for x in ("n_known", "base_score", "score")))
-    per_row = whole.join(sums, ["k1", "k2"], "left")
-    for x in ("n_known", "base_score", "score"):
-        per_row = per_row.withColumn(x, F.col(x) + F.coalesce(f"rare_{x}", F.lit(0))).drop(f"rare_{x}")
-    return times.join(per_row, ["k1", "k2"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    rare_grams = rare_grams.groupBy("k1", "k2").agg(F.sum(F.col("times") * F.col("log10_p")).alias("more_score"))
+    part = lambda x: F.coalesce(F.col(x) / F.col("rows"), F.lit(0.0))
+    per_row = whole.join(rare_words, ["k1", "k2"], "left").join(rare_grams, ["k1", "k2"], "left").select(
+        "k1", "k2", "n_tokens", (F.col("n_known") + F.round(part("more_known")).cast("long")).alias("n_known"), (F.col("base_score") + part("more_base")).alias("base_score"), (F.col("score") + part("more_score")).alias("score")
+    )
+    return keyed.select("k1", "k2", "doc_id", "held_out").join(per_row, ["k1", "k2"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
