@@ -60,7 +60,11 @@ def gbt_forecast(train: DataFrame, future: DataFrame, numeric: list[str], catego
         VectorAssembler(inputCols=[*numeric, "__site", "__hot"], outputCol="__features", handleInvalid="keep"),
         GBTRegressor(featuresCol="__features", labelCol=label, predictionCol="prediction", maxIter=20, maxDepth=4, stepSize=0.2, seed=seed),
     ]
-    out = Pipeline(stages=stages).fit(encode(train)).transform(encode(future))
+    # the trees pass over the rows many times
+    rows = encode(train).select(*numeric, category, "__site", label).persist()
+    model = Pipeline(stages=stages).fit(rows)
+    rows.unpersist()
+    out = model.transform(encode(future))
     return out.select(*future.columns, F.greatest(F.col("prediction"), F.lit(0.0)).alias("prediction"))
 
 
