@@ -70,14 +70,20 @@ def range_search(sims: np.ndarray, adjacent: np.ndarray, starts: np.ndarray, own
         r, c = np.nonzero(fresh)
         seen[r, new[r, c]] = True
         best[r, new[r, c]] = sims[r, new[r, c]]
+    # in range edges are followed both ways: a vector that is nobody's choice is met through its own
+    a, b = np.repeat(np.arange(m), adjacent.shape[1]), adjacent.ravel()
+    links = np.unique(np.concatenate([a * m + b, b * m + a]))
+    to, begin = links % m, np.searchsorted(links, np.arange(m + 1) * m)
     close = sims >= threshold
     while True:  # expand whatever is in range
         q, x = np.nonzero(seen & close & ~done)
         if not len(q):
             return seen & close
         done[q, x] = True
-        for i in range(0, len(q), 200_000):
-            seen[np.repeat(q[i : i + 200_000], adjacent.shape[1]), adjacent[x[i : i + 200_000]].ravel()] = True
+        for i in range(0, len(q), 100_000):
+            many = begin[x[i : i + 100_000] + 1] - begin[x[i : i + 100_000]]
+            at = np.repeat(begin[x[i : i + 100_000]] - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
+            seen[np.repeat(q[i : i + 100_000], many), to[at]] = True
 
 
 def _search(threshold: float, degree: int, alpha: float, near: int, steps: int):
