@@ -203,7 +203,7 @@ def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees over all sites, for the last 35 days."""
     from ..operators.rows import split_by_date
 
-    p = prepared(spark, sf_dir).withColumnRenamed("group_size", "kind")
+    p = prepared(spark, sf_dir).withColumnRenamed("group_size", "kind").persist()
     train, test = split_by_date(p, "d", 35)
     numeric = ["day", "month", "mobile_mean_42_shifted_21", "daily_mobile_mean_8_shifted_4", "weekday_mean", "is_holiday", "days_before", "days_after", "is_public_holiday", "is_bridge"]
     return M.gbt_forecast(train, test, numeric, "kind", "site", "v").select("site", "d", "v", "prediction")
@@ -220,7 +220,7 @@ def seasonal_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 35 days from those before."""
     from ..operators.rows import split_by_date
 
-    train, test = split_by_date(prepared(spark, sf_dir), "d", 35)
+    train, test = split_by_date(prepared(spark, sf_dir).persist(), "d", 35)
     return M.seasonal_regression(train, test, "site", "d", "v", ["mobile_mean_42_shifted_21", "weekday_mean", "is_holiday", "is_public_holiday"])
 
 
