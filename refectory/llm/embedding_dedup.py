@@ -75,6 +75,7 @@ def range_search(sims: np.ndarray, adjacent: np.ndarray, starts: np.ndarray, own
     links = np.unique(np.concatenate([a * m + b, b * m + a]))
     to, begin = links % m, np.searchsorted(links, np.arange(m + 1) * m)
     close = sims >= threshold
+    done[:] = False  # until here only edges out were followed
     while True:  # expand whatever is in range
         q, x = np.nonzero(seen & close & ~done)
         if not len(q):
