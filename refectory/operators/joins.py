@@ -141,7 +141,7 @@ def fuzzy_candidates(queries: DataFrame, people: DataFrame, block: str, first: s
 
     q = queries.select("query_id", block, normal_name(F.col(first)).alias("__f"), normal_name(F.col(last)).alias("__l"), F.col(birth).alias("__b"))
     p = people.select("person_id", block, normal_name(F.col(first)).alias("__pf"), normal_name(F.col(last)).alias("__pl"), F.col(birth).alias("__pb"))
-    scored = q.join(p, block).withColumn("score", 0.4 * jaro_winkler("__f", "__pf") + 0.6 * jaro_winkler("__l", "__pl"))
+    scored = q.join(p, block).withColumn("score", F.round(0.4 * jaro_winkler("__f", "__pf") + 0.6 * jaro_winkler("__l", "__pl"), 9))
     scored = scored.withColumn("date_valid", F.coalesce(F.col("__b") == F.col("__pb"), F.lit(False)))
     w = Window.partitionBy("query_id", "date_valid").orderBy(F.desc_nulls_last("score"), "person_id")
     most = F.when(F.col("__b").isNull(), without_date).otherwise(per_class)
