@@ -1,7 +1,7 @@
 """N-gram Jaccard join by a token-group matrix.
 
 Texts with one and the same set of shingles are one class. Classes that share a rare shingle are first held against one leader per
-shingle, which puts similar classes into groups. For what is left, a class meets a whole group at once: the shingles of the group's
+shingle, drawn anew a few times, which puts similar classes into groups. For what is left, a class meets a whole group at once: the shingles of the group's
 members are kept as their union, a class opens the group only where its overlap with that union reaches what a link needs, and only
 then is it compared with the members.
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import components, maybe_in, read_table, row_key, staged, words_of
 
 #: At most so many shingles, the most frequent ones, are sent to all tasks; they only set the order in which shingles are looked up.
-SENT = 1 << 20
+SENT = 1 << 22
 CACHE = 1_000_000
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0x9E3779B97F4A7C15)
 
@@ -97,13 +97,13 @@ def _survey(k: int):
 
 
 def _prefixes(k: int, num: int, den: int, sent):
-    """(token, h, n): the shingles of a set that must be looked up."""
+    """(token, h, n, short): the shingles of a set that must be looked up; short for those that are enough with a set of its size or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, times = sent.value
         seen = set()
         for batch in batches:
-            tokens, owner, sizes = [], [], []
+            tokens, owner, sizes, short = [], [], [], []
             for text in batch["text"].to_pylist():
                 own = shingle_set(text, k)
                 n = len(own)
@@ -115,11 +115,12 @@ def _prefixes(k: int, num: int, den: int, sent):
                 count = np.where(keys[at] == own, times[at], 0) if len(keys) else np.zeros(n, np.int64)
                 tokens.append(own[np.argsort(count, kind="stable")[: n - -(-num * n // den) + 1]])
                 owner.append(h), sizes.append(n)
+                short.append(np.arange(len(tokens[-1])) <= n - -(-2 * num * n // (num + den)))
             if len(seen) > 500_000:
                 seen.clear()
             if tokens:
                 many = [len(x) for x in tokens]
-                yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(owner, np.int64), many)), pa.array(np.repeat(np.array(sizes, np.int64), many))], names=["token", "h", "n"])
+                yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(owner, np.int64), many)), pa.array(np.repeat(np.array(sizes, np.int64), many)), pa.array(np.concatenate(short))], names=["token", "h", "n", "short"])
 
     return run
 
@@ -154,7 +155,7 @@ def _union(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"g": pa.array([key[0].as_py()], pa.int64()), "tokens2": pa.array([np.unique(np.concatenate(parts)).tobytes()], pa.binary())})
 
 
-def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
+def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), rounds: int = 6) -> DataFrame:
     """docs (doc_id, text, ...) -> doc_id, n_shingles, component_id, one row for each row.
 
     Words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased; a set holds the distinct shingles of k words, or the whole sequence if it has
@@ -162,6 +163,7 @@ def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4,
     smallest doc_id reachable by links, itself included. Null, empty and blank texts have no shingle, link with nothing and are
     their own component. A null doc_id counts as larger than any; a component of null ids alone has a null id. Rows with equal sets are one
     class and are never paired. Other columns aren't read. Shingles are compared by 64-bit hashes and classes by 128-bit ones.
+    rounds: how often leaders are drawn at most before groups are compared as such; the result doesn't depend on it.
     """
     spark, (num, den) = docs.sparkSession, threshold
     own = docs.select(row_key("doc_id", "text")[0], F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -176,12 +178,12 @@ def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4,
     often = times.where(F.col("times") >= least).limit(SENT).toArrow()
     tokens, counts = often["token"].to_numpy().view(np.uint64), often["times"].to_numpy()
     order = np.argsort(tokens)
-    sent = spark.sparkContext.broadcast((tokens[order], counts[order].astype(np.int64)))
+    sent = spark.sparkContext.broadcast((tokens[order], np.minimum(counts[order], 1 << 30).astype(np.int32)))
 
-    prefixes = own.select("text").mapInArrow(_prefixes(k, num, den, sent), "token long, h long, n long")
+    prefixes = own.select("text").mapInArrow(_prefixes(k, num, den, sent), "token long, h long, n long, short boolean")
     prefixes = staged(prefixes, "prefixes")
-    shared = prefixes.groupBy("token").agg(F.min("h").alias("lead"), F.max("h").alias("last")).where("lead < last").select("token", "lead")
-    lists = staged(prefixes.join(shared, "token").distinct(), "lists")
+    shared = prefixes.groupBy("token").agg(F.min("h").alias("least"), F.max("h").alias("most"), F.max("short").alias("any_short")).where("least < most AND any_short").select("token")
+    lists = staged(prefixes.join(shared, "token").select("token", "h", "n", "short").distinct(), "lists")
 
     def near(n: str, n2: str) -> Column:
         return (F.col(n) * num <= F.col(n2) * den) & (F.col(n2) * num <= F.col(n) * den)
@@ -197,28 +199,50 @@ def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4,
         both = both.mapInArrow(_overlaps("h", "h2"), "h long, h2 long, n long, n2 long, common long")
         return both.where(F.col("common") * den >= (F.col("n") + F.col("n2") - F.col("common")) * num).select("h", "h2")
 
-    # first: each list's classes with its leader
+    # first: each list's classes with a leader, round by round another one, as long as that links groups
     sizes = classes.select("h", "n", "node")
-    led = lists.where("h != lead").select("h", "n", F.col("lead").alias("h2")).distinct().join(sizes.select(F.col("h").alias("h2"), F.col("n").alias("n2")), "h2").where(near("n", "n2"))
-    led = staged(led, "led")
-    sets = fetched(led.select("h").union(led.select("h2")).distinct())
     node = sizes.select("h", "node")
     edges = lambda links: links.join(node.withColumnRenamed("node", "a"), "h").join(node.select(F.col("h").alias("h2"), F.col("node").alias("b")), "h2").select("a", "b")
-    # classes whose 64-bit h is the same but not h2 would meet here as well; they link only if their sets do
-    links = staged(edges(verified(led, sets)), "links")
-    groups = staged(components(links), "groups")
-
-    # then: lists in which several groups are left; classes without a link are groups of their own
-    grouped = lists.select("token", "h", "n").join(node, "h").join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).select("token", "h", "n", "g")
-    many = grouped.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("token")
-    grouped = staged(grouped.join(many, "token", "left_semi"), "grouped")
-    matrix = grouped.groupBy("token", F.col("g").alias("g2")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    met = grouped.join(matrix, "token").where("g != g2").where((F.col("least") * num <= F.col("n") * den) & (F.col("n") * num <= F.col("most") * den))
-    met = met.groupBy("h", "n", F.col("g2").alias("g")).agg(F.count("*").alias("common"), F.min("least").alias("least"), F.max("most").alias("most"))
-    first = lambda n: n - F.ceil(n * num / den) + 1
-    need = lambda a, b: F.least(first(a) - a, first(b) - b) + F.ceil((a + b) * num / (den + num))
-    lo, hi = F.greatest(F.col("least"), F.ceil(F.col("n") * num / den)), F.least(F.col("most"), F.floor(F.col("n") * den / num))
-    met = staged(met.where(F.col("common") >= F.least(need(F.col("n"), lo), need(F.col("n"), hi))).select("h", "n", "g"), "met")
+
+    def grouped_by(groups: DataFrame | None) -> DataFrame:
+        """The lists with their classes' groups; classes without a link are groups of their own."""
+        g = lists.join(node, "h")
+        return g.withColumn("g", F.col("node")) if groups is None else g.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component")
+
+    def mixed(grouped: DataFrame) -> DataFrame:
+        """Rows of lists that hold several groups."""
+        many = grouped.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("token")
+        return grouped.join(many, "token", "left_semi").select("token", "h", "n", "short", "g")
+
+    links = groups = tried = None
+    for turn in range(rounds):
+        rows_ = mixed(grouped_by(groups)) if turn else grouped_by(None)
+        lead = rows_.groupBy("token").agg(F.min(F.xxhash64("h", F.lit(turn))).alias("mark"))
+        lead = rows_.join(lead, "token").where(F.xxhash64("h", F.lit(turn)) == F.col("mark")).groupBy("token").agg(F.min("h").alias("h2"), F.min("n").alias("n2"), F.min("g").alias("g2"), F.max("short").alias("short2"))
+        meet = (F.col("short") & (F.col("n") <= F.col("n2"))) | (F.col("short2") & (F.col("n2") <= F.col("n")))
+        led = rows_.join(lead, "token").where((F.col("h") != F.col("h2")) & (F.col("g") != F.col("g2")) & meet & near("n", "n2")).select("h", "n", "h2", "n2").distinct()
+        if tried is not None:
+            led = led.join(tried, ["h", "h2"], "left_anti")
+        led = staged(led, "led")
+        if led.isEmpty():
+            break
+        sets = fetched(led.select("h").union(led.select("h2")).distinct())
+        # classes whose 64-bit h is the same but not h2 would meet here as well; they link only if their sets do
+        new = staged(edges(verified(led, sets)), "links")
+        if new.isEmpty():
+            break
+        tried = led.select("h", "h2") if tried is None else tried.unionByName(led.select("h", "h2"))
+        links = new if links is None else links.unionByName(new)
+        groups = staged(components(links), "groups")
+
+    # then: lists in which several groups are left
+    grouped = staged(mixed(grouped_by(groups)), "grouped")
+    # a class meets a group in a list if the smaller side is there with a short prefix
+    small = F.when(F.col("short"), F.col("n"))
+    matrix = grouped.groupBy("token", F.col("g").alias("g2")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min(small).alias("least_short"))
+    meet = (F.col("short") & (F.col("n") <= F.col("most"))) | (F.col("least_short") <= F.col("n"))
+    sized = (F.col("least") * num <= F.col("n") * den) & (F.col("n") * num <= F.col("most") * den)
+    met = staged(grouped.join(matrix, "token").where((F.col("g") != F.col("g2")) & meet & sized).select("h", "n", F.col("g2").alias("g")).distinct(), "met")
     if not met.isEmpty():
         members = grouped.select("g", "h", "n").distinct().join(met.select("g").distinct(), "g", "left_semi")
         members = staged(members, "members")
@@ -229,8 +253,9 @@ def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4,
         pairs = opened.join(members.select("g", F.col("h").alias("h2"), F.col("n").alias("n2")), "g").where(near("n", "n2")).select("h", "n", "h2", "n2")
         more = staged(edges(verified(staged(pairs, "opened"), sets)), "links")
         if not more.isEmpty():
-            groups = staged(components(links.unionByName(more)), "groups")
-    final = classes.select("h", "h2", "node").join(groups, "node", "left").select("h", "h2", F.coalesce("component", "node").alias("component"))
+            groups = staged(components(more if links is None else links.unionByName(more)), "groups")
+    final = classes.select("h", "h2", "node")
+    final = final.withColumnRenamed("node", "component") if groups is None else final.join(groups, "node", "left").select("h", "h2", F.coalesce("component", "node").alias("component"))
     # ids of null documents are negative only where no other id is in the component
     smallest = rows.join(final, ["h", "h2"]).groupBy("component").agg(F.min("doc_id").alias("smallest"))
     final = final.join(smallest, "component").select("h", "h2", "smallest")
