@@ -35,10 +35,12 @@ def rolling(df: DataFrame, c: Columns) -> DataFrame:
     out = df.withColumn("day", F.weekday(c.date))
     out = W.full_window_mean(out, [c.site], [c.date], c.value, 42, "mobile_mean_42")
     out = W.full_window_mean(out, [c.site, "day"], [c.date], c.value, 8, "daily_mobile_mean_8")
+    filled = {}
     for keys, source, steps in (([c.site], "mobile_mean_42", (21, 35)), ([c.site, "day"], "daily_mobile_mean_8", (4, 6))):
         for k in steps:
-            name = f"{source}_shifted_{k}"
-            out = W.back_filled(W.shifted(out, keys, [c.date], source, k, name), keys, [c.date], name)
+            filled[name := f"{source}_shifted_{k}"] = keys
+            out = W.shifted(out, keys, [c.date], source, k, name)
+    out = W.back_filled(out, [c.date], filled)
     return W.group_mean(out, [c.site, "day"], c.value, "weekday_mean")
 
 
@@ -86,10 +88,13 @@ def future_frame(df: DataFrame, c: Columns, first_day: str, days: int, last_know
 
 
 def prepare(df: DataFrame, c: Columns, as_of: str, zone: str, periods: DataFrame, holidays: DataFrame) -> DataFrame:
-    """M1: all of it: clean, rolling features, calendar, then sparse weekdays and outliers go, opening pattern, size group."""
+    """M1: all of it: clean, rolling features, calendar, then sparse weekdays and outliers go, opening pattern, size group.
+
+    Two steps that several aggregates read again are kept (persisted); the caller may clear them when the result is written.
+    """
     zones = df.groupBy(c.site).agg(F.max(zone).alias(zone))
-    out = rolling(clean(df, c, as_of), c).join(zones, c.site)
+    out = rolling(clean(df, c, as_of).persist(), c).join(zones, c.site).persist()
     out = calendar(out, c, zone, periods, holidays)
-    out = without_outliers(dense_weekdays(out, c), c)
+    out = without_outliers(dense_weekdays(out, c), c).persist()
     out = with_opening(out, opening_pattern(out, c), c)
     return out.join(A.size_groups(out, c.site, c.value).select(c.site, "group_size"), c.site)

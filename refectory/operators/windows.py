@@ -35,11 +35,15 @@ def shifted(df: DataFrame, keys: list[str], order: list, value: str, k: int, nam
     return df.withColumn(name, F.lag(value, k).over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def back_filled(df: DataFrame, keys: list[str], order: list, value: str) -> DataFrame:
-    """Nulls take the group's first value that is there, else the mean over all rows."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    mean = df.agg(F.avg(value).alias("__mean"))
-    return df.withColumn("__first", F.first(value, ignorenulls=True).over(w)).crossJoin(F.broadcast(mean)).withColumn(value, F.coalesce(value, "__first", "__mean")).drop("__first", "__mean")
+def back_filled(df: DataFrame, order: list, columns: dict[str, list[str]]) -> DataFrame:
+    """Nulls of each column take the first value that is there in its group, else the mean over all rows; columns: name -> group keys.
+
+    All columns at once: the means are one aggregate row, so df is read twice, however many columns there are.
+    """
+    means = df.agg(*(F.avg(c).alias(f"__mean_{c}") for c in columns))
+    first = {c: F.first(c, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) for c, keys in columns.items()}
+    out = df.withColumns({f"__first_{c}": f for c, f in first.items()}).crossJoin(F.broadcast(means))
+    return out.withColumns({c: F.coalesce(c, f"__first_{c}", f"__mean_{c}") for c in columns}).drop(*(f"__{k}_{c}" for c in columns for k in ("first", "mean")))
 
 
 def group_mean(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:

@@ -35,7 +35,7 @@ SELECT site, d, coalesce(s, first_value(s IGNORE NULLS) OVER (PARTITION BY site
 def lag_rows_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shifts by rows, leading nulls filled from the group, else from all."""
     a = W.shifted(attendance(spark, sf_dir), ["site"], ["d"], "v", 21, "shifted").withColumn("shifted", F.when(F.col("site") == 3, None).otherwise(F.col("shifted")))
-    return W.group_mean(W.back_filled(a, ["site"], ["d"], "shifted"), ["site"], "v", "site_mean").drop("v")
+    return W.group_mean(W.back_filled(a, ["d"], {"shifted": ["site"]}), ["site"], "v", "site_mean").drop("v")
 
 
 _IQR = f"SELECT site, {_WD} AS day, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3, stddev_samp(v) AS std FROM {_ATT} GROUP BY ALL"
