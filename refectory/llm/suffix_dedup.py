@@ -206,6 +206,7 @@ def _padded(column: pa.Array, width: int) -> np.ndarray:
 def repeated_spans(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans (k1, start, stop) of windows that also start earlier, among the minimizers of whole k-grams."""
     empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    whole = table
     h = table["h"].to_numpy()
     doc = table["doc_id"].to_pandas()
     none = doc.isna().to_numpy()
@@ -213,7 +214,13 @@ def repeated_spans(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray
     k1, pos = table["k1"].to_numpy(), table["pos"].to_numpy()
     order = np.lexsort((pos, k1, doc, none, h))
     same = np.r_[False, (h[order][1:] == h[order][:-1]) & (k1[order][1:] == k1[order][:-1]) & (pos[order][1:] == pos[order][:-1])]
-    order = order[~same]  # rows that repeat a document wholly count once
+    if same.any():  # pieces of a very long text that share a margin: each has some of the windows
+        by = [table[c].to_numpy().astype(np.int64) for c in ("low", "high")]
+        lows, highs = (np.lexsort((x, pos, k1, doc, none, h))[~same] for x in (by[0], -by[1]))
+        table = table.take(pa.array(order[~same]))
+        for name, at in (("low", lows), ("after", lows), ("high", highs), ("before", highs)):
+            table = table.set_column(table.schema.get_field_index(name), name, whole[name].take(pa.array(at)))
+        h, order = h[order[~same]], np.arange(len(lows))
     _, group, size = np.unique(h[order], return_inverse=True, return_counts=True)
     order, group = order[size[group] > 1], group[size[group] > 1]
     if not len(order):
@@ -298,10 +305,14 @@ def suffix_dedup(docs: DataFrame, length: int = 100, partition_rows: int = 150_0
     narrow = staged(keyed.where(size >= length).select("doc_id", "k1", size.alias("n"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(3), "text").alias("t2")), "texts")
     lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1")
     copies = narrow.groupBy("t1", "t2").agg(F.min(lead).alias("lead"), F.count("*").alias("rows")).where("rows > 1")
-    again = staged(narrow.join(copies, ["t1", "t2"]).where("k1 != lead.k1").select("k1", "n").distinct(), "copies")
+    copies = staged(narrow.join(copies, ["t1", "t2"]).groupBy("k1", "n").agg((F.col("k1") == F.min("lead.k1")).alias("first"), F.count("*").alias("rows")).where("not first or rows > 1"), "copies")
+    again, repeated = copies.where("not first").select("k1", "n"), copies.where("first").select("k1")
     long = keyed.where(size >= length).select("doc_id", "k1", "text")
-    maybe = maybe_in(again.select(F.col("k1").alias("key")), F.col("k1"))
-    texts = long.where(~maybe).unionByName(long.where(maybe).join(again, "k1", "left_anti"))
+    maybe = maybe_in(copies.select(F.col("k1").alias("key")), F.col("k1"))
+    texts = long.where(~maybe).unionByName(long.where(maybe).join(copies, "k1", "left_anti"))
+    # of rows that repeat one document one is searched; they are merged in each task before they move
+    once = long.where(maybe_in(repeated.select(F.col("k1").alias("key")), F.col("k1"))).groupBy("k1").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    texts = texts.unionByName(staged(once.join(repeated, "k1", "left_semi"), "repeated"))
 
     hashes = texts.mapInArrow(_hashes(length), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))

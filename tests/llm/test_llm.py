@@ -170,6 +170,44 @@ def test_suffix_dedup(documents, nothing):
     assert suffix_dedup.suffix_dedup(nothing).count() == 0
 
 
+def brute_removed(rows):
+    """The bytes that suffix_dedup is to keep, by distinct (doc_id, text)."""
+    seen, kept = set(), {}
+    for d, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
+        b, gone = t.encode(), bytearray(len(t.encode()))
+        for i in range(len(b) - 99):
+            if b[i : i + 100] in seen:
+                gone[i : i + 100] = b"\1" * 100
+            seen.add(b[i : i + 100])
+        kept[d, t] = bytes(c for c, m in zip(b, gone, strict=True) if not m)
+    return kept
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_suffix_dedup_of_repeated_rows(spark, parts):
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = [(5, text)] * 3 + [(6, text), (6, text), (7, "x" + text[:300] + "y"), (None, text[::-1]), (None, text[::-1]), (9, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    want = brute_removed(rows)
+    assert want[5, text] == text.encode() and want[6, text] == b""
+    got = [(r.doc_id, r.n_bytes, bytes(r.kept)) for r in suffix_dedup.suffix_dedup(df).collect()]
+    assert bag(got) == bag((d, len(t), want[d, t]) for d, t in rows)
+
+
+def test_suffix_dedup_of_a_text_in_pieces(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 150)  # pieces of 600 bytes and their margins
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        text = bytes(rng.integers(97, 123, 2000).astype(np.uint8)).decode()
+        rows = [(1, text[500:866]), (2, text)]  # the last windows start past the first piece's
+        batch = suffix_dedup.pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in rows], "k1": [d for d, _ in rows], "text": [t for _, t in rows]})
+        every = collections.namedtuple("Bits", "value")(np.full(suffix_dedup.FILTER_BITS // 64, -1))
+        table = suffix_dedup.pa.Table.from_batches(suffix_dedup._contexts(100, every)(iter([batch])))
+        table = table.filter(suffix_dedup.pa.compute.is_valid(table["h"]))
+        spans = list(zip(*(x.tolist() for x in suffix_dedup.repeated_spans(table, 100)), strict=True))
+        assert {k for k, _, _ in spans} == {2} and {i for _, a, b in spans for i in range(a, b)} == set(range(500, 866))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_deep_shallow_order(seed):
     rng = np.random.default_rng(seed)
