@@ -8,6 +8,7 @@ tries beyond it. The common prefixes of neighbours then tell, for each window th
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,8 @@ GRAM = 32
 FILTER_BITS = 1 << 26
 CHUNK = 3_000_000
 SPAN = "k1 long, start long, stop long"
-ROW = "h long, doc_id long, k1 long, pos long, low short, high short, before binary, after binary, start long, stop long"
+ROW = "h long, doc_id long, k1 long, pos long, low short, high short, before binary, after binary, start long, stop long, hot boolean"
+WINDOW = "w1 long, w2 long, doc_id long, k1 long, start long"
 
 
 def minimizers(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -88,19 +90,20 @@ def _hashes(length: int):
     return run
 
 
-def _contexts(length: int, bits):
+def _contexts(length: int, bits, hot):
     """A row for each minimizer that may be met elsewhere, with the bytes around it; of equal surroundings in one batch the first only, the
-    others being spans to remove right away."""
-    names = ["h", "doc_id", "k1", "pos", "low", "high", "before", "after", "start", "stop"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    others being spans to remove right away. hot: minimizers that too many rows hold for one task."""
+    names = ["h", "doc_id", "k1", "pos", "low", "high", "before", "after", "start", "stop", "hot"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = bits.value
+        words, many = bits.value, hot.value if hot else None
         for data, ends, keys in _chunks(batches):
             place, h, low, high = minimizers(data, ends, length)
             at = (h % np.uint64(FILTER_BITS)).astype(np.int64)
             keep = np.flatnonzero((words[at >> 6] >> (at & 63)) & 1)
-            place, h, low, high = place[keep], h[keep].view(np.int64), low[keep], high[keep]
+            place, h, low, high, at = place[keep], h[keep].view(np.int64), low[keep], high[keep], at[keep]
+            crowded = ((many[at >> 6] >> (at & 63)) & 1).astype(bool) if hot else np.zeros(len(at), bool)
             owner = np.searchsorted(ends, place, "right")
             begin = np.r_[0, ends[:-1]]
             raw = data.tobytes()
@@ -117,10 +120,10 @@ def _contexts(length: int, bits):
                 own = (before, after, lo)
                 pos = p - b + shift
                 if own in seen:  # all its windows stood earlier
-                    row = (None, None, k, None, None, None, None, None, pos - hi, pos - lo + length)
+                    row = (None, None, k, None, None, None, None, None, pos - hi, pos - lo + length, None)
                 else:
                     seen[own] = True
-                    row = (int(h[i]), doc, k, pos, lo, hi, before[::-1], after, None, None)
+                    row = (int(h[i]), doc, k, pos, lo, hi, before[::-1], after, None, None, bool(crowded[i]))
                 for x, v in zip(rows, row, strict=True):
                     x.append(v)
             if rows[0]:
@@ -259,6 +262,41 @@ def repeated_spans(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray
     return key[new], start[new], start[last] + length
 
 
+def _windows(length: int):
+    """Each window of each row, as 128 bits and its place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low, high, pos = (batch[c].to_numpy().astype(np.int64) for c in ("low", "high", "pos"))
+            sums = []
+            for lo, hi, before, after in zip(low.tolist(), high.tolist(), batch["before"].to_pylist(), batch["after"].to_pylist(), strict=True):
+                raw = before[::-1] + after  # what is before has `high` bytes
+                sums += [hashlib.blake2b(raw[a : a + length], digest_size=16).digest() for a in range(hi - lo + 1)]
+            row = np.repeat(np.arange(len(pos)), high - low + 1)
+            first = np.cumsum(high - low + 1) - (high - low + 1)
+            start = (pos - high)[row] + np.arange(len(row)) - first[row]
+            w = np.frombuffer(b"".join(sums), np.int64).reshape(-1, 2)
+            at = pa.array(row)
+            yield pa.record_batch([pa.array(w[:, 0]), pa.array(w[:, 1]), batch["doc_id"].take(at), batch["k1"].take(at), pa.array(start)], names=["w1", "w2", "doc_id", "k1", "start"])
+
+    return run
+
+
+def crowded_spans(rows: DataFrame, length: int, most: int) -> DataFrame:
+    """Spans as of repeated_spans, of minimizers that too many rows hold for one task: windows find their least occurrence by aggregation.
+
+    Windows met more than `most` times are few and sent to the tasks, so no key of the join has more rows than that.
+    """
+    windows = rows.mapInArrow(_windows(length), WINDOW)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "start")
+    lead = windows.groupBy("w1", "w2").agg(F.min(place).alias("lead"), F.count("*").alias("n")).where("n > 1")
+    lead = staged(lead, "leads")
+    often, seldom = lead.where(F.col("n") > most).drop("n"), lead.where(F.col("n") <= most).drop("n")
+    often = F.broadcast(often)
+    found = windows.join(often, ["w1", "w2"]).unionByName(windows.join(F.broadcast(often.select("w1", "w2")), ["w1", "w2"], "left_anti").join(seldom, ["w1", "w2"]))
+    return found.where(place != F.col("lead")).select("k1", "start", (F.col("start") + length).alias("stop")).distinct()
+
+
 def _sorted_task(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [b for b in batches if b.num_rows]
@@ -290,14 +328,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch["doc_id"], pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array([[{"start": a, "stop": b} for a, b in x] for x in spans], kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
 
-def suffix_dedup(docs: DataFrame, length: int = 100, partition_rows: int = 150_000) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 100, partition_rows: int = 150_000, hot_rows: int = 150_000) -> DataFrame:
     """docs (doc_id, text, ...) -> doc_id, n_bytes, n_removed, spans (start, stop in bytes), kept (binary), one row for each row.
 
     Removes each byte that lies in a string of `length` bytes (more than 64) that also starts earlier: in a smaller doc_id (null ids
     last), or earlier in the same text. Strings are judged on the input. A null text is empty and loses nothing. Rows of one doc_id
     and one text are one document and all get its result; unlike texts of one doc_id come in a fixed order. Other columns aren't read.
     Of equal texts only the first is searched, the others go whole. Texts move once, at the end; a minimizer that many texts hold is
-    thinned to its distinct surroundings in each batch before the shuffle.
+    thinned to its distinct surroundings in each batch before the shuffle. One met more than hot_rows times is not sorted in one task:
+    its windows are told apart by 128 bits each.
     """
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key("doc_id", "text")[0])
@@ -316,15 +355,20 @@ def suffix_dedup(docs: DataFrame, length: int = 100, partition_rows: int = 150_0
 
     hashes = texts.mapInArrow(_hashes(length), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))
-    words = hashes.select(F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("v")).toArrow()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    words = hashes.select("n", F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w"))
+    words = words.agg(F.bit_or(bit).alias("v"), F.coalesce(F.bit_or(F.when(F.col("n") > hot_rows, bit)), F.lit(0).cast("long")).alias("hot")).toArrow()
+    bits, hot = np.zeros(FILTER_BITS // 64, np.int64), np.zeros(FILTER_BITS // 64, np.int64)
     bits[words["w"].to_numpy()] = words["v"].to_numpy()
-    bits = spark.sparkContext.broadcast(bits)
+    hot[words["w"].to_numpy()] = words["hot"].to_numpy()
+    crowded = bool(hot.any())
+    bits, hot = spark.sparkContext.broadcast(bits), spark.sparkContext.broadcast(hot) if crowded else None
 
-    found = staged(texts.mapInArrow(_contexts(length, bits), ROW), "suffixes")
-    rows = found.where("h is not null").drop("start", "stop")
+    found = staged(texts.mapInArrow(_contexts(length, bits, hot), ROW), "suffixes")
+    rows = found.where("h is not null and not hot").drop("start", "stop", "hot")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // partition_rows)
     spans = rows.repartition(parts, "h").mapInArrow(_sorted_task(length), SPAN)
+    if crowded:
+        spans = spans.unionByName(crowded_spans(found.where("hot").drop("start", "stop", "hot"), length, hot_rows))
     spans = spans.unionByName(found.where("h is null").select("k1", "start", "stop"))
     spans = spans.unionByName(again.select("k1", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop")))
     spans = staged(spans, "spans").groupBy("k1").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))

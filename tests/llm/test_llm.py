@@ -194,6 +194,22 @@ def test_suffix_dedup_of_repeated_rows(spark, parts):
     assert bag(got) == bag((d, len(t), want[d, t]) for d, t in rows)
 
 
+def test_suffix_dedup_of_crowded_minimizers(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    some = " ".join(word() for _ in range(30))
+    rows = [(i, " ".join(word() for _ in range(20)) + " " + some[: rng.choice([32, 90, 104, 140, 200])] + " " + " ".join(word() for _ in range(20))) for i in range(60)]
+    rows += [(None, some), (100, rows[3][1] + rows[4][1]), (101, rows[5][1]), (102, "é" * 300)]
+    want = brute_removed(rows)
+    widest = []
+    spans_of = suffix_dedup.crowded_spans
+    monkeypatch.setattr(suffix_dedup, "crowded_spans", lambda rows, *a: (widest.append(rows.groupBy("h").count().agg(F.max("count")).first()[0]), spans_of(rows, *a))[1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.n_bytes, bytes(r.kept)) for r in suffix_dedup.suffix_dedup(df, hot_rows=5).collect()]
+    assert bag(got) == bag((d, len(t.encode()), want[d, t]) for d, t in rows)
+    assert max(widest) > 5
+
+
 def test_suffix_dedup_of_a_text_in_pieces(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 150)  # pieces of 600 bytes and their margins
     rng = np.random.default_rng(3)
@@ -202,7 +218,7 @@ def test_suffix_dedup_of_a_text_in_pieces(monkeypatch):
         rows = [(1, text[500:866]), (2, text)]  # the last windows start past the first piece's
         batch = suffix_dedup.pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in rows], "k1": [d for d, _ in rows], "text": [t for _, t in rows]})
         every = collections.namedtuple("Bits", "value")(np.full(suffix_dedup.FILTER_BITS // 64, -1))
-        table = suffix_dedup.pa.Table.from_batches(suffix_dedup._contexts(100, every)(iter([batch])))
+        table = suffix_dedup.pa.Table.from_batches(suffix_dedup._contexts(100, every, None)(iter([batch])))
         table = table.filter(suffix_dedup.pa.compute.is_valid(table["h"]))
         spans = list(zip(*(x.tolist() for x in suffix_dedup.repeated_spans(table, 100)), strict=True))
         assert {k for k, _, _ in spans} == {2} and {i for _, a, b in spans for i in range(a, b)} == set(range(500, 866))
