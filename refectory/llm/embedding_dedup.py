@@ -87,6 +87,11 @@ def range_search(sims: np.ndarray, adjacent: np.ndarray, starts: np.ndarray, own
             seen[np.repeat(q[i : i + 100_000], many), to[at]] = True
 
 
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the vectors of shards b are also in shards that those of a are not in."""
+    return ~(b[:, :, None] == a[:, None, :]).any(2).all(1)
+
+
 def _search(threshold: float, degree: int, alpha: float, near: int, steps: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         own = table["own"].to_numpy()
@@ -100,18 +105,18 @@ def _search(threshold: float, degree: int, alpha: float, near: int, steps: int):
         if m == 0 or not query.any():
             return empty
         index = vectors[:m]
+        if not (query[:m]).any():  # of two parts of a shard no graph holds both: all pairs are compared
+            at = [np.nonzero(vectors[a : a + 1000] @ index.T >= threshold) for a in range(m, len(node), 1000)]
+            q, x = (np.concatenate([v[i] + (m + 1000 * k if i == 0 else 0) for k, v in enumerate(at)]) for i in (0, 1))
+            return pa.table({"q": pa.array(node[q]), "x": pa.array(node[x]), "cross": pa.array(apart(shards[q], shards[x])), "edge": pa.array(np.zeros(len(q), bool))})
         sims = index @ index.T
         adjacent = pruned_graph(sims, min(degree, max(m - 1, 1)), alpha, near, int(node[0]) & 0xFFFF)
         middle = index @ index.mean(0)
         starts = np.unique(np.concatenate([[middle.argmax()], np.linspace(0, m - 1, min(4, m)).astype(int)]))
-        asks = np.flatnonzero(query)
-        found = range_search(sims[asks] if (asks < m).all() else vectors[asks] @ index.T, adjacent, starts, np.where(asks < m, asks, -1), threshold, steps)
-        q, x = np.nonzero(found)
-        q = asks[q]
+        q, x = np.nonzero(range_search(sims, adjacent, starts, np.arange(m), threshold, steps))
         keep = node[q] != node[x]
         q, x = q[keep], x[keep]
-        a, b = shards[q], shards[x]
-        cross = ~(b[:, :, None] == a[:, None, :]).any(2).all(1)
+        cross = apart(shards[q], shards[x])
         e, f = np.repeat(np.arange(m), adjacent.shape[1]), adjacent.ravel()
         keep = e != f
         e, f = node[e[keep]], node[f[keep]]

@@ -261,6 +261,18 @@ def test_embedding_groups(spark):
     assert embedding_dedup.embedding_groups(df.limit(0)).count() == 0
 
 
+def test_near_pairs_across_parts_of_a_shard(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(200, 24))
+    v = np.concatenate([base, base + 0.05 * rng.normal(size=base.shape)])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "node long, vec array<double>")
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(v @ v.T >= 0.95), strict=True) if a < b}
+    assert len(want) >= 190
+    out, _ = embedding_dedup.near_pairs(df, 0.95, shard_rows=400, most_rows=100, steps=2, least_recall=0.0)
+    assert {(r.q, r.x) for r in out.collect()} == want
+
+
 def test_lm_scores(spark, documents, nothing):
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
     rows = pairs(documents)
