@@ -158,18 +158,48 @@ def _brute(ids: np.ndarray, vectors: np.ndarray, threshold: float):
     def run(batches):
         for batch in batches:
             v, node = _matrix(batch["vec"]), batch["node"].to_numpy()
-            q, x = np.nonzero((vectors @ v.T >= threshold) & (ids[:, None] != node[None, :])) if len(v) else (np.zeros(0, int), np.zeros(0, int))
-            yield pa.record_batch([pa.array(ids[q]), pa.array(node[x])], names=["q", "x"])
+            many = ((vectors @ v.T >= threshold) & (ids[:, None] != node[None, :])).sum(1) if len(v) else np.zeros(len(ids), int)
+            yield pa.record_batch([pa.array(ids[many > 0]), pa.array(many[many > 0])], names=["q", "n"])
 
     return run
 
 
-def near_pairs(classes: DataFrame, threshold: float, overlap: int = 4, shard_rows: int = 600, most_rows: int = 2800, sample: int = 20_000, degree: int = 24, alpha: float = 1.2, near: int = 64, steps: int = 64, audit: int = 400, least_recall: float = 0.97) -> tuple[DataFrame, float]:
+def audit_counts(classes: DataFrame, threshold: float, audit: int, linked: int = 200, blocks: int = 16) -> tuple[DataFrame, int]:
+    """(q, n): how many vectors are in range of q, by comparison with every vector, for those of the queries drawn that have one.
+
+    Queries are drawn by hash in blocks of `audit`, until `linked` have a vector in range, the vectors end, or all blocks are drawn.
+    """
+    spark, kind = classes.sparkSession, "q long, n long"
+    mark = F.xxhash64("node", F.lit(1))
+    last, found = None, []
+    for _ in range(blocks):
+        rest = classes if last is None else classes.where((mark > last[0]) | ((mark == last[0]) & (F.col("node") > last[1])))
+        asked = rest.select("node", "vec", mark.alias("mark")).orderBy("mark", "node").limit(audit).toArrow()
+        if not len(asked):
+            break
+        ids = asked["node"].to_numpy()
+        last = asked["mark"][-1].as_py(), asked["node"][-1].as_py()
+        found += classes.mapInArrow(_brute(ids, _matrix(asked["vec"]), threshold), kind).groupBy("q").agg(F.sum("n").alias("n")).collect()
+        if len(ids) < audit or len(found) >= linked:
+            break
+    return spark.createDataFrame([(r.q, r.n) for r in found], kind), len(found)
+
+
+def audited(true: DataFrame, pairs: DataFrame) -> float:
+    """The mean over audited queries of the share of their true links that pairs holds: a large group counts no more than a pair."""
+    both = pairs.select("q", "x").unionByName(pairs.select(F.col("x").alias("q"), F.col("q").alias("x")))
+    met = both.join(F.broadcast(true), "q", "left_semi").groupBy("q").agg(F.count("*").alias("met"))
+    share = F.least(F.coalesce("met", F.lit(0)), "n") / F.col("n")
+    return true.join(met, "q", "left").agg(F.avg(share)).first()[0]
+
+
+def near_pairs(classes: DataFrame, threshold: float, overlap: int = 4, shard_rows: int = 600, most_rows: int = 2800, sample: int = 20_000, degree: int = 24, alpha: float = 1.2, near: int = 64, steps: int = 64, audit: int = 400, least_recall: float = 0.97, contract: float = 0.9) -> tuple[DataFrame, float | None]:
     """classes (node, vec: unit vectors of one length) -> pairs (q, x) with q < x and cosine >= threshold, and the recall measured.
 
     sample: vectors that the cluster centres are fitted on. A shard of more than most_rows is cut into parts; each vector is still
-    searched in all parts of its shards. audit: queries, of smallest hash, that are also compared with every vector; below
-    least_recall the search is done again with more shards for each vector, steps and candidates, three times at most.
+    searched in all parts of its shards. audit: queries of a block that are also compared with every vector (see audit_counts); below
+    least_recall the search is done again with more shards for each vector, steps and candidates, three times at most, and if recall
+    is below `contract` even then, that is an error. Where no query drawn has a link, recall is not measured (None).
     """
     n = classes.count()
     if n < 2:
@@ -179,7 +209,8 @@ def near_pairs(classes: DataFrame, threshold: float, overlap: int = 4, shard_row
     k = max(1, min(n // shard_rows, len(vectors) // 8))
     centres = _centres(vectors, k)
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    recall = 0.0
+    true, measured = audit_counts(classes, threshold, audit)
+    recall = None
     for attempt in range(3):
         n_near = min(overlap + 2 * attempt, k)
         dealt = staged(classes.mapInArrow(_nearest(centres, n_near), "node long, vec array<double>, near array<int>"), "shards")
@@ -205,13 +236,11 @@ def near_pairs(classes: DataFrame, threshold: float, overlap: int = 4, shard_row
                 break
             pairs = staged(pairs.unionByName(new), "pairs")
             ahead = new.unionByName(new.select(F.col("x").alias("q"), F.col("q").alias("x")))
-        asked = classes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(audit).toArrow()
-        ids = asked["node"].to_numpy()
-        true = classes.mapInArrow(_brute(ids, _matrix(asked["vec"]), threshold), "q long, x long").select(*pair).distinct()
-        total, met = true.join(pairs.withColumn("met", F.lit(1)), ["q", "x"], "left").agg(F.count("*"), F.count("met")).first()
-        recall = met / total if total else 1.0
-        if recall >= least_recall:
+        recall = audited(true, pairs) if measured else None
+        if recall is None or recall >= least_recall:
             break
+    if recall is not None and recall < contract:
+        raise RuntimeError(f"near_pairs: recall {recall:.3f} on {measured} queries with links, less than {contract}")
     return pairs, recall
 
 
@@ -220,7 +249,7 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.95, **options) ->
 
     Links are pairs with cosine >= threshold in double precision. Equal vectors are one class, counted but never paired. Vectors that
     are null, zero, hold null or non-finite components, are not of the most common length, or have a null vec_id link with nothing
-    and are their own component. component_id: the smallest vec_id reachable. recall: as measured on the audit's queries. Rows that
+    and are their own component. component_id: the smallest vec_id reachable. recall: as measured on the audit's queries, null where none of them has a link. Rows that
     share a vec_id are linked with each other's links. Other columns aren't read.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("e"))
@@ -241,7 +270,7 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.95, **options) ->
     known = known.select("k1", "k2", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"), F.coalesce("component", "node").alias("component"))
     out = rows.select("vec_id", "k1", "k2", F.col("vec").isNotNull().alias("valid")).join(known, ["k1", "k2"], "left")
     component = F.when(F.col("valid"), F.col("component")).otherwise(F.col("vec_id"))
-    return out.select("vec_id", F.when(F.col("valid"), F.col("links")).otherwise(F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"), F.lit(recall).alias("recall"))
+    return out.select("vec_id", F.when(F.col("valid"), F.col("links")).otherwise(F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"), F.lit(recall).cast("double").alias("recall"))
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,10 +269,34 @@ def test_near_pairs_across_parts_of_a_shard(spark):
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "node long, vec array<double>")
     want = {(int(a), int(b)) for a, b in zip(*np.nonzero(v @ v.T >= 0.95), strict=True) if a < b}
     assert len(want) >= 190
-    out, _ = embedding_dedup.near_pairs(df, 0.95, shard_rows=400, most_rows=100, steps=2, least_recall=0.0)
+    out, _ = embedding_dedup.near_pairs(df, 0.95, shard_rows=400, most_rows=100, steps=2, least_recall=0.0, contract=0.0)
     assert {(r.q, r.x) for r in out.collect()} == want
 
 
+def test_audit_sees_isolated_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    hot = rng.normal(size=24) + 0.02 * rng.normal(size=(300, 24))
+    base = rng.normal(size=(60, 24))
+    alone = rng.normal(size=(300, 24))
+    v = np.concatenate([hot, base, base + 0.02 * rng.normal(size=base.shape), alone])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "node long, vec array<double>")
+    # rare links: one block of 20 queries has too few
+    true, n = embedding_dedup.audit_counts(df, 0.95, 20, linked=60, blocks=30)
+    near = (v @ v.T >= 0.95).sum(1) - 1
+    got = {r.q: r.n for r in true.collect()}
+    assert n == len(got) >= 60 and all(near[q] == c for q, c in got.items())
+    # a search that meets the large group only: by pairs 0.998 of all, by queries less
+    def only_hot(sims, *_):
+        out = sims >= 0.95
+        out[out.sum(1) < 50] = False
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "range_search", only_hot)
+    with pytest.raises(RuntimeError, match="recall"):
+        embedding_dedup.near_pairs(df, 0.95)
+
+
 def test_lm_scores(spark, documents, nothing):
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
     rows = pairs(documents)
