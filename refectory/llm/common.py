@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,11 @@ _OWN_DIR: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where none is set (local tests)."""
+    """The folder of spark.checkpoint.dir; where none is set, a temporary one in local mode (tests), an error on a cluster."""
     if at := spark.conf.get("spark.checkpoint.dir", None):
         return at
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
     if not _OWN_DIR:
         _OWN_DIR.append(f"file://{tempfile.mkdtemp(prefix='spark-refectory-')}")
     return _OWN_DIR[0]
@@ -32,18 +35,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it again: later jobs start from there, also after a lost executor."""
     spark, at = df.sparkSession, work_path(df.sparkSession, name)
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out.staged_at = at
+    return out
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Delete the files of a table from staged() that nothing reads any more."""
-    jvm, spark = df.sparkSession.sparkContext._jvm, df.sparkSession
-    for at in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/refectory/" in at:
-            path = jvm.org.apache.hadoop.fs.Path(at)
+def drop_staged(*tables: DataFrame | None) -> None:
+    """Delete the files of tables from staged() that nothing reads any more."""
+    for df in tables:
+        if at := getattr(df, "staged_at", None):
+            spark = df.sparkSession
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def join_hot(left: DataFrame, right: DataFrame, on: list[str], weight: str, hot: int = 256, most: int = 1 << 16) -> DataFrame:
+    """Inner join with right, which has one row for each key; weight: its column that tells how many rows of left have the key.
+
+    The keys met more than `hot` times, `most` of them at most, are sent to all tasks, so that their rows stay where they are; the rest
+    is joined by a shuffle. left is read twice, so it should be a staged table.
+    """
+    top = right.where(F.col(weight) > hot).orderBy(F.desc(weight), *on).limit(most)
+    cols = [*left.columns, *(c for c in right.columns if c not in on)]
+    often = left.join(F.broadcast(top), on).select(*cols)
+    seldom = left.join(F.broadcast(top.select(*on)), on, "left_anti").join(right, on).select(*cols)
+    return often.unionByName(seldom)
+
+
 def row_key(*cols: str) -> list[Column]:
     """128 bits that stand for a row's values, nulls included: columns k1 and k2."""
     # a null leaves xxhash64's seed as it is, so it is hashed as a flag besides
@@ -51,6 +69,14 @@ def row_key(*cols: str) -> list[Column]:
     return [F.xxhash64(*own).alias("k1"), F.xxhash64(F.lit(0x51ED), *own).alias("k2")]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def maybe_in(keys: DataFrame, key: Column, words: int = 1 << 16) -> Column:
     """A condition that holds where key is one of keys' column key, and seldom elsewhere: one bit for each of 64 * words hashes.
 
