@@ -33,23 +33,44 @@ def backtest_moving_average(history: DataFrame, site: str, date: str, value: str
     """M12 with M11: for every cut-off, forecasts of the days in the horizon from what was known by then.
 
     Only the last n positive values of each weekday matter, so each row is matched with the cut-offs it can serve, found from the row
-    n places on, instead of the whole history with every cut-off. Sites with fewer rows than least_rows by then are left out.
+    n places on, and how much is known by then is a running count, instead of the whole history with every cut-off. Sites with fewer rows than least_rows by then are left out.
     """
     h = history.select(site, F.to_date(date).alias("d"), F.col(value).alias("v")).withColumn("day", F.weekday("d"))
     pos = h.where("v > 0")
     w = Window.partitionBy(site, "day").orderBy("d", "v")
     # a value serves cut-offs from its day until the day before the n-th later value
     serving = pos.withColumn("until", F.date_sub(F.lead("d", n).over(w), 1))
-    c = F.broadcast(cuts)
-    fit = serving.join(c, (F.col("cutoff") >= F.col("d")) & (F.col("until").isNull() | (F.col("cutoff") <= F.col("until"))))
+    fit = serving.join(cuts, (F.col("cutoff") >= F.col("d")) & (F.col("until").isNull() | (F.col("cutoff") <= F.col("until"))))
     fit = fit.groupBy(site, "cutoff", "day").agg(F.avg("v").alias("prediction"))
     seen = h.groupBy(site, "d").agg(F.count("*").alias("k")).withColumn("seen", F.sum("k").over(Window.partitionBy(site).orderBy("d").rowsBetween(Window.unboundedPreceding, 0)))
-    enough = seen.join(c, F.col("cutoff") >= F.col("d")).groupBy(site, "cutoff").agg(F.max("seen").alias("seen")).where(F.col("seen") >= least_rows)
-    actual = h.join(c, (F.datediff("d", "cutoff") >= horizon[0]) & (F.datediff("d", "cutoff") <= horizon[1]))
+    # the running count as of each cut-off: both in one line by day, the last count known carried on
+    line = seen.select(site, "d", "seen", F.lit(None).cast("date").alias("cutoff")).unionByName(seen.select(site).distinct().crossJoin(cuts).select(site, F.col("cutoff").alias("d"), F.lit(None).cast("long").alias("seen"), "cutoff"))
+    as_of = Window.partitionBy(site).orderBy("d", F.col("cutoff").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    enough = line.withColumn("seen", F.last("seen", True).over(as_of)).where(F.col("cutoff").isNotNull() & (F.col("seen") >= least_rows))
+    actual = h.join(cuts, (F.datediff("d", "cutoff") >= horizon[0]) & (F.datediff("d", "cutoff") <= horizon[1]))
     out = actual.join(enough.select(site, "cutoff"), [site, "cutoff"], "left_semi").join(fit, [site, "cutoff", "day"])
     return out.select(site, "cutoff", F.col("d").alias("target"), F.datediff("d", "cutoff").alias("horizon"), F.col("v").alias("actual"), "prediction")
 
 
+def resumed(cuts: DataFrame, store: DataFrame | None) -> DataFrame:
+    """The cut-offs after the last one that the store has; all where it has none."""
+    if store is None:
+        return cuts
+    done = store.agg(F.max("cutoff").alias("__done"))
+    return cuts.crossJoin(done).where(F.col("__done").isNull() | (F.col("cutoff") > F.col("__done"))).drop("__done")
+
+
+def fill_known(future: DataFrame, history: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Rows to be forecast whose day is already in the history get its summed value, which goes before their own."""
+    known = history.groupBy(*keys).agg(F.sum(value).alias("__known"))
+    return future.join(known, keys, "left").withColumn(value, F.coalesce("__known", value)).drop("__known")
+
+
+def route_by_tenant(forecasts: DataFrame, sites: DataFrame, site: str, tenant: str, path: str) -> None:
+    """Forecasts of a model over all tenants, written by tenant (sites: site, tenant); a site without a tenant goes nowhere."""
+    forecasts.join(sites.select(site, tenant).distinct(), site).write.mode("overwrite").partitionBy(tenant).parquet(path)
+
+
 def gbt_forecast(train: DataFrame, future: DataFrame, numeric: list[str], category: str, site: str, label: str, seed: int = 42) -> DataFrame:
     """One boosted-tree model over all sites: numeric features, a one-hot category, the site as the mean of its labels; floor 0."""
     means = train.groupBy(site).agg(F.avg(label).alias("__site"))
@@ -89,10 +110,10 @@ def weekday_autoregression(history: DataFrame, site: str, date: str, value: str,
             for _ in range(steps):
                 out.append(float(np.clip(w[0] + sum(w[k + 1] * last[-k - 1] for k in range(lags)), 0, 3 * v.max())))
                 last.append(out[-1])
-        return pd.DataFrame({"site": key[0], "day": key[1], "step": range(1, steps + 1), "prediction": np.maximum(out, 0.0)})
+        return pd.DataFrame({site: key[0], "day": key[1], "step": range(1, steps + 1), "prediction": np.maximum(out, 0.0)})
 
     kind = history.schema[site].dataType.simpleString()
-    return h.groupBy(site, "day").applyInPandas(fit, f"site {kind}, day int, step int, prediction double")
+    return h.groupBy(site, "day").applyInPandas(fit, f"`{site}` {kind}, day int, step int, prediction double")
 
 
 def seasonal_regression(history: DataFrame, future: DataFrame, site: str, date: str, value: str, regressors: list[str], least_rows: int = 10, ridge: float = 1.0) -> DataFrame:

@@ -57,7 +57,7 @@ def holiday_distance(dates: DataFrame, date: str, zone: str, periods: DataFrame,
     """
     d = dates.select(F.to_date(date).alias("__day"), F.col(zone).alias("__zone")).distinct()
     p = periods.select(F.col(zone).alias("__zone"), F.to_date(start).alias("__s"), F.to_date(end).alias("__e"))
-    j = d.join(F.broadcast(p), "__zone", "left")
+    j = d.join(p, "__zone", "left")
     inside = (F.col("__day") >= F.col("__s")) & (F.col("__day") <= F.col("__e"))
     before, after = F.datediff("__s", "__day"), F.datediff("__day", "__e")
     out = j.groupBy("__day", "__zone").agg(
@@ -73,6 +73,6 @@ def holiday_flags(dates: DataFrame, date: str, holidays: DataFrame, day: str) ->
     """M5: whether a day is a public holiday, and whether it bridges one: the Monday before a Tuesday, the Friday after a Thursday."""
     off = holidays.select(F.to_date(day).alias("__off")).distinct()
     bridge = off.select(F.when(F.weekday("__off") == 1, F.date_sub("__off", 1)).when(F.weekday("__off") == 3, F.date_add("__off", 1)).alias("__bridge")).where("__bridge is not null").distinct()
-    j = dates.withColumn("__day", F.to_date(date)).join(F.broadcast(off.withColumn("__h", F.lit(1))), F.col("__day") == F.col("__off"), "left")
-    j = j.join(F.broadcast(bridge.withColumn("__b", F.lit(1))), F.col("__day") == F.col("__bridge"), "left")
+    j = dates.withColumn("__day", F.to_date(date)).join(off.withColumn("__h", F.lit(1)), F.col("__day") == F.col("__off"), "left")
+    j = j.join(bridge.withColumn("__b", F.lit(1)), F.col("__day") == F.col("__bridge"), "left")
     return j.select(*dates.columns, F.coalesce("__h", F.lit(0)).alias("is_public_holiday"), F.coalesce("__b", F.lit(0)).alias("is_bridge"))

@@ -34,7 +34,7 @@ def to_type(c: Column, kind: str, fmt: str | None = None) -> Column:
 def to_boolean(c: Column) -> Column:
     """true/1/yes/oui and false/0/no/non, in any case; else null."""
     t = F.lower(F.trim(c.cast("string")))
-    return F.when(t.isin("true", "1", "yes", "oui", "1.0"), True).when(t.isin("false", "0", "no", "non", "0.0"), False)
+    return F.when(t.isin("true", "1", "yes", "oui"), True).when(t.isin("false", "0", "no", "non"), False)
 
 
 def decimal_comma(c: Column) -> Column:

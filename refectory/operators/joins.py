@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,14 +35,15 @@ def full_outer_zero(a: DataFrame, b: DataFrame, keys: list[str], measures: list[
     return out.where(some)
 
 
-def routed(fact: DataFrame, status: DataFrame, dim: DataFrame, site: str, group: str, dim_key: str, how: str = "left") -> DataFrame:
+def routed(fact: DataFrame, status: DataFrame, dim: DataFrame, site: str, group: str, dim_key: str, how: str = "left", also: tuple[str, ...] = ()) -> DataFrame:
     """Fact joined with dim by site where the group's status is 2, else by group.
 
-    status (group column, status), one row a group. The key is computed once, so that this is an equi-join.
+    status (group column, status), one row a group. The key is computed once, so that this is an equi-join. also: columns of both sides
+    that must be equal as well.
     """
     s = status.select(F.col(group), F.col("status").alias("__status"))
     keyed = fact.join(s, group, "left").withColumn("__route", F.when(F.col("__status") == 2, F.col(site)).otherwise(F.col(group)))
-    return keyed.join(dim.withColumnRenamed(dim_key, "__route"), "__route", how).drop("__status", "__route")
+    return keyed.join(dim.withColumnRenamed(dim_key, "__route"), ["__route", *also], how).drop("__status", "__route")
 
 
 def latest_started(fact: DataFrame, date: str, periods: DataFrame, start: str, cols: list[str], order: str) -> DataFrame:
@@ -49,14 +52,14 @@ def latest_started(fact: DataFrame, date: str, periods: DataFrame, start: str, c
     Periods do not depend on other columns, so each distinct date is matched once with the periods, a small table, and joined back.
     """
     days = fact.select(F.to_date(date).alias("__day")).distinct()
-    best = days.join(F.broadcast(periods), F.col("__day") >= F.to_date(start)).groupBy("__day").agg(F.max_by(F.struct(*cols), F.struct(F.to_date(start), F.col(order))).alias("__p"))
+    best = days.join(periods, F.col("__day") >= F.to_date(start)).groupBy("__day").agg(F.max_by(F.struct(*cols), F.struct(F.to_date(start), F.col(order))).alias("__p"))
     return fact.withColumn("__day", F.to_date(date)).join(best, "__day", "left").select(*(F.col(c) for c in fact.columns), *(F.col(f"__p.{c}").alias(c) for c in cols))
 
 
 def within_period(fact: DataFrame, date: str, periods: DataFrame, start: str, end: str, how: str = "inner") -> DataFrame:
     """Rows with the periods that hold their day, both ends in; overlapping periods give a row each."""
     day = F.to_date(F.col(date))
-    return fact.join(F.broadcast(periods), (day >= F.to_date(F.col(start))) & (day <= F.to_date(F.col(end))), how)
+    return fact.join(periods, (day >= F.to_date(F.col(start))) & (day <= F.to_date(F.col(end))), how)
 
 
 def period_or_none(fact: DataFrame, keys: list[str], date: str, periods: DataFrame, start: str, end: str) -> DataFrame:
@@ -79,16 +82,44 @@ def overlay(df: DataFrame, key: str, corrections: DataFrame, value: str) -> Data
 
 
 def by_year_or_latest(df: DataFrame, lookup: DataFrame, site: str, year: str, value: str, default: float) -> DataFrame:
-    """The value of (site, year), else the site's latest known one, else a constant."""
+    """The value of (site, year), else the site's latest known one, else a constant; of several values of a year the largest."""
     exact = lookup.groupBy(site, year).agg(F.max(value).alias("__exact"))
-    latest = lookup.where(F.col(value).isNotNull()).groupBy(site).agg(F.max_by(value, year).alias("__latest"))
+    latest = exact.where("__exact is not null").groupBy(site).agg(F.max_by("__exact", year).alias("__latest"))
     return df.join(exact, [site, year], "left").join(latest, site, "left").withColumn(value, F.coalesce("__exact", "__latest", F.lit(default))).drop("__exact", "__latest")
 
 
+def id_chain(fact: DataFrame, key: str, maps: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """Ids followed through maps (frame, from, to), as session -> wave -> school year; each step adds its id, null where the chain breaks.
+
+    A map has one row an id; of several the smallest target counts.
+    """
+    out = fact
+    for m, a, b in maps:
+        one = m.where(F.col(a).isNotNull()).groupBy(F.col(a).alias("__from")).agg(F.min(b).alias(b))
+        out = out.join(one, F.col(key) == F.col("__from"), "left").drop("__from")
+        key = b
+    return out
+
+
+def resolve_ids(df: DataFrame, label: str, lookup: DataFrame, lookup_label: str, lookup_id: str, strict: bool = True) -> DataFrame:
+    """The id of each row's label; of several ids of a label the smallest. A label that the lookup lacks is an error; not strict, it has a null id."""
+    ids = lookup.groupBy(F.col(lookup_label).alias("__label")).agg(F.min(lookup_id).alias(lookup_id))
+    out = df.join(ids, F.col(label) == F.col("__label"), "left").drop("__label")
+    if strict and (lost := out.where(F.col(label).isNotNull() & F.col(lookup_id).isNull()).select(label).distinct().orderBy(label).limit(5).collect()):
+        raise ValueError(f"resolve_ids: no {lookup_id} for {', '.join(repr(r[0]) for r in lost)}")
+    return out
+
+
+def key_union(sources: list[tuple[DataFrame, str]], name: str) -> DataFrame:
+    """The distinct keys of several sources (frame, column), without nulls and empty texts."""
+    keys = [df.select(F.col(c).alias(name)).where(F.col(name).isNotNull() & (F.col(name).cast("string") != "")).distinct() for df, c in sources]
+    return reduce(DataFrame.unionByName, keys).distinct()
+
+
 def filled_years(df: DataFrame, entities: DataFrame, key: str, years: DataFrame, year: str, value: str) -> DataFrame:
     """Entities without any row get one of null value for each year."""
     none = entities.select(key).distinct().join(df.select(key).distinct(), key, "left_anti")
-    return df.select(key, year, value).unionByName(none.crossJoin(F.broadcast(years.select(year))).withColumn(value, F.lit(None).cast(df.schema[value].dataType)))
+    return df.select(key, year, value).unionByName(none.crossJoin(years.select(year).distinct()).withColumn(value, F.lit(None).cast(df.schema[value].dataType)))
 
 
 def _jaro(a: str, b: str) -> float:

@@ -105,7 +105,11 @@ def export(df: DataFrame, labels: dict[str, str]) -> DataFrame:
 
 
 class SnapshotTable:
-    """Versions of a table as Parquet folders, and a pointer file to the current one. One writer at a time."""
+    """Versions of a table as Parquet folders, and numbered pointer files, of which the highest names the current version.
+
+    A pointer comes by one rename under a number that isn't there yet, and no pointer goes before a higher one is there: a reader finds
+    the old version or the new one, also when a writer stops anywhere. Of two writers of one number the second fails.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -114,10 +118,18 @@ class SnapshotTable:
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def version(self) -> str | None:
-        at = self._path(f"{self.path}/CURRENT")
-        if not self._fs.exists(at):
+        if not (numbers := self._pointers()):
             return None
-        return json.loads(self.spark.read.text(f"{self.path}/CURRENT").first()[0])["version"]
+        return json.loads(self.spark.read.text(self._pointer(numbers[-1])).first()[0])["version"]
+
+    def _pointer(self, n: int) -> str:
+        return f"{self.path}/pointer-{n:012d}"
+
+    def _pointers(self) -> list[int]:
+        if not self._fs.exists(self._path(self.path)):
+            return []
+        names = [x.getPath().getName() for x in self._fs.listStatus(self._path(self.path))]
+        return sorted(int(x.removeprefix("pointer-")) for x in names if x.startswith("pointer-"))
 
     def read(self) -> DataFrame:
         if (v := self.version()) is None:
@@ -128,23 +140,36 @@ class SnapshotTable:
         """K1, K8: df as the new current version."""
         v = f"v-{uuid.uuid4().hex}"
         df.write.partitionBy(*partition_by).parquet(f"{self.path}/{v}") if partition_by else df.write.parquet(f"{self.path}/{v}")
-        new = self._path(f"{self.path}/.CURRENT-{v}")
+        n = (self._pointers() or [0])[-1] + 1
+        new = self._path(f"{self.path}/.pointer-{v}")
         out = self._fs.create(new)
         out.write(bytearray(json.dumps({"version": v}).encode()))
         out.close()
-        at = self._path(f"{self.path}/CURRENT")
-        if self._fs.exists(at):
-            self._fs.delete(at, False)
-        self._fs.rename(new, at)
+        at = self._path(self._pointer(n))
+        if self._fs.exists(at) or not self._fs.rename(new, at):
+            raise RuntimeError(f"{self.path}: version {n} was written meanwhile")
         return v
 
+    def prune(self, keep: int = 2) -> None:
+        """Versions before the last `keep` go, their pointers first."""
+        numbers = self._pointers()
+        old = [(n, json.loads(self.spark.read.text(self._pointer(n)).first()[0])["version"]) for n in numbers[: max(len(numbers) - keep, 0)]]
+        for n, v in old:
+            self._fs.delete(self._path(self._pointer(n)), False)
+            self._fs.delete(self._path(f"{self.path}/{v}"), True)
+
     def reload(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> str:
         """K1: a full reload; an empty source is refused."""
         if df.isEmpty():
             raise ValueError("reload: the source is empty, the table stays")
         return self.write(df, partition_by)
 
-    def upsert(self, src: DataFrame, keys: list[str], order: list[Column]) -> str:
+    def upsert(self, src: DataFrame, keys: list[str], order: list[Column], newest: bool = False) -> str:
+        """K2; newest: a row of the table stays where it goes before the source's in the order, so that late rows change nothing."""
         if self.version() is None:
             return self.write(last_per_key(src, keys, order))
-        return self.write(merge_upsert(self.read(), src, keys, order))
+        held = self.read()
+        if newest:
+            met = held.alias("t").join(src.select(*keys).distinct().alias("s"), _on(keys), "left_semi")
+            src = src.select(*held.columns).unionByName(met)
+        return self.write(merge_upsert(held, src, keys, order))

@@ -94,6 +94,20 @@ def suivi_inscriptions(t: Tables) -> DataFrame:
     return W.running(J.densify(e, "day", "wave", "organization", kinds), ["wave", "organization"], ["day"], {f"{k}_total": k for k in kinds})
 
 
+def suivi_validations(t: Tables) -> DataFrame:
+    """For each wave every day for every organisation, with the approvals of the day and their running total."""
+    e = registration_events(t).where("approved = 1").join(registration_star(t).select("registration_id", "wave", "organization"), "registration_id")
+    return W.running(J.densify(e, "day", "wave", "organization", ["approved"]), ["wave", "organization"], ["day"], {"approved_total": "approved"})
+
+
+def filter_tables(t: Tables) -> DataFrame:
+    """The distinct values of each dimension that reports are filtered by, as (dimension, value)."""
+    star = registration_star(t)
+    dims = ["school_year", "organization", "type", "department", "wave", "tranche", "subgroup", "billing"]
+    values = star.select(F.explode(F.array(*(F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value")) for d in dims))).alias("v")).select("v.*")
+    return values.where("value is not null").distinct()
+
+
 def daily_suivi(t: Tables) -> DataFrame:
     """R12."""
     return registration_events(t).groupBy("day").agg(*(F.sum(k).alias(k) for k in ("created", "deposited", "approved")))
@@ -201,6 +215,13 @@ def accuracy_report(store: DataFrame) -> DataFrame:
     return A.metrics_by_sets(f, ["uai", "model", "bin"], [["model"], ["model", "bin"], ["uai", "model"], ["uai", "model", "bin"]], "effectif_reel", "prediction")
 
 
+def site_report(store: DataFrame, digits: int = 2) -> DataFrame:
+    """Errors by site and model, rounded, columns in a fixed order, the worst sites first."""
+    m = A.error_metrics(store, ["uai", "model"], "effectif_reel", "prediction")
+    cols = ["uai", "model", "n", "mae", "rmse", "mape", "bias"]
+    return m.select(*(F.round(c, digits).alias(c) if c in cols[3:] else F.col(c) for c in cols)).orderBy(F.desc_nulls_last("mae"), "uai", "model")
+
+
 def by_school_year(reports: dict[str, DataFrame], path: str) -> None:
     """Each report as Parquet by school year, in one write."""
     for name, df in reports.items():

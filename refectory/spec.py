@@ -53,7 +53,8 @@ class TenantConfig:
 
 
 def snake_case(name: str) -> str:
-    """Column name without accents, camel case split, in lower case: idUser -> id_user, IdX -> id_x."""
+    """Column name without accents, camel case split, in lower case, a leading id set apart: idUser, iduser -> id_user, IdX -> id_x."""
     plain = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode()
     plain = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", plain.strip())
-    return re.sub(r"_+", "_", re.sub(r"[^0-9A-Za-z]+", "_", plain)).strip("_").lower()
+    plain = re.sub(r"[^0-9A-Za-z]+", "_", plain).strip("_").lower()
+    return plain if plain == "id" or plain.startswith("id_") or not plain.startswith("id") else f"id_{plain[2:]}"

@@ -26,8 +26,11 @@ def sync(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint:
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert_batches(table: SnapshotTable, keys: list[str], order: list[Column], deleted: str | None = None) -> Callable[[DataFrame, int], None]:
-    """Each batch's soft-deleted rows leave the table, the others are merged. Repeating a batch changes nothing."""
+def upsert_batches(table: SnapshotTable, keys: list[str], order: list[Column], deleted: str | None = None, newest: bool = False) -> Callable[[DataFrame, int], None]:
+    """Each batch's soft-deleted rows leave the table, the others are merged. Repeating a batch changes nothing.
+
+    newest: rows that come late don't replace newer ones of the table (see SnapshotTable.upsert). The last two versions are kept.
+    """
 
     def apply(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
@@ -36,13 +39,49 @@ def upsert_batches(table: SnapshotTable, keys: list[str], order: list[Column], d
         if deleted is not None and table.version() is not None:
             gone = batch.where(F.col(deleted).isNotNull())
             table.write(delete_keys(table.read(), gone, keys))
-        table.upsert(rows, keys, order)
+        table.upsert(rows, keys, order, newest)
+        table.prune()
 
     return apply
 
 
+def counted_by_day(stream: DataFrame, ts: str, kind: str, at: str) -> DataFrame:
+    """T5: events by day and kind over all files landed so far, however late and in whatever order they come.
+
+    Each batch's counts are written under its number, so that a repeated batch replaces its own; the sum over batches is the result.
+    """
+
+    def keep(batch: DataFrame, n: int) -> None:
+        batch.groupBy(F.to_date(ts).alias("day"), kind).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{at}/out/batch={n}")
+
+    sync(stream, keep, f"{at}/stream")
+    return stream.sparkSession.read.parquet(f"{at}/out").groupBy("day", kind).agg(F.sum("n").alias("n"))
+
+
+def reload_chunks(table: SnapshotTable, chunks: list[str], read: Callable[[str], DataFrame], stage: str) -> DataFrame:
+    """A full reload chunk by chunk that goes on after errors; returns a row on each chunk (chunk, rows, status, error).
+
+    Each chunk is written on its own first; those that could be read make the new version. If none could, the table stays as it is.
+    """
+    spark, rows, good = table.spark, [], []
+    for i, name in enumerate(chunks):
+        try:
+            at = f"{stage}/chunk-{i}"
+            read(name).write.mode("overwrite").parquet(at)
+            rows.append((name, spark.read.parquet(at).count(), "complete", None))
+            good.append(at)
+        except Exception as e:  # noqa: BLE001  whatever a source fails with goes into the audit
+            rows.append((name, 0, "failed", str(e).splitlines()[0][:300]))
+    if good:
+        table.write(spark.read.parquet(*good))
+    return spark.createDataFrame(rows, "chunk string, rows long, status string, error string")
+
+
 def daily_counts(stream: DataFrame, ts: str, kind: str, late: str = "1 day") -> DataFrame:
-    """T5: events by day and kind, with a watermark; in append mode a day comes out once it is complete."""
+    """T5: events by day and kind, with a watermark; in append mode a day comes out once it is complete.
+
+    For a stream that runs on; rows that come later than the watermark are dropped, see counted_by_day where none may be.
+    """
     return stream.withWatermark(ts, late).groupBy(F.window(ts, "1 day"), kind).agg(F.count("*").alias("n")).select(F.to_date("window.start").alias("day"), kind, "n")
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from refectory.forecast import models as M
@@ -12,6 +13,7 @@ from refectory.operators import rows as R
 from refectory.operators import tables as K
 from refectory.operators import windows as W
 from refectory.spec import TableSpec, snake_case
+from refectory.streaming import sync as T
 
 
 def rows(df):
@@ -126,3 +128,96 @@ def test_error_metrics_skip_zero_actuals(spark):
     d = spark.createDataFrame([("s", 0.0, 1.0), ("s", 2.0, 1.0), ("s", None, 1.0)], "s string, y double, p double")
     r = A.error_metrics(d, ["s"], "y", "p").first()
     assert (r.mae, r.mape, r.bias, r.n) == (1.0, 50.0, 0.0, 2)
+
+
+def test_snapshot_pointer_survives_a_stop(spark, tmp_path):
+    t = K.SnapshotTable(spark, str(tmp_path / "t"))
+    f = lambda *r: spark.createDataFrame(list(r), "k int, v string")
+    t.write(f((1, "a")))
+
+    class Stopped(K.SnapshotTable):
+        """A writer that stops before its pointer is in place."""
+
+        def _pointer(self, n):
+            if n > 1:
+                raise RuntimeError("stopped")
+            return super()._pointer(n)
+
+    with pytest.raises(RuntimeError):
+        Stopped(spark, t.path).write(f((2, "b")))
+    assert rows(t.read()) == [(1, "a")]
+    t.upsert(f((3, "c")), ["k"], [F.desc("v")])
+    assert rows(t.read()) == [(1, "a"), (3, "c")]
+    held = t.read()
+    for i in range(3):
+        t.write(f((i, "x")))
+    t.prune(2)
+    assert rows(t.read()) == [(2, "x")] and len(t._pointers()) == 2 and held is not None
+
+
+def test_late_rows_dont_replace_newer_ones(spark, tmp_path):
+    t = K.SnapshotTable(spark, str(tmp_path / "t"))
+    f = lambda *r: spark.createDataFrame(list(r), "k int, at int")
+    for batch in (f((1, 5), (2, 1)), f((1, 3), (2, 4), (3, 1)), f((1, 5))):
+        t.upsert(batch, ["k"], [F.desc("at")], newest=True)
+    assert rows(t.read()) == [(1, 5), (2, 4), (3, 1)]
+
+
+def test_stream_counts_every_late_file(spark, tmp_path):
+    days = [(dt.datetime(2024, 1, d, h), "x" if h % 2 else "y") for d in range(1, 10) for h in range(5)]
+    at = str(tmp_path / "landed")
+    for d in reversed(range(1, 10)):  # the newest days land first, each file is a batch
+        spark.createDataFrame([r for r in days if r[0].day == d], "ts timestamp, kind string").coalesce(1).write.mode("append").parquet(at)
+    got = T.counted_by_day(T.landed(spark, at, 1), "ts", "kind", str(tmp_path / "out")).collect()
+    assert sum(r.n for r in got) == len(days) and {(r.day.day, r.kind, r.n) for r in got} == {(d, k, n) for d in range(1, 10) for k, n in (("x", 2), ("y", 3))}
+    batches = {p.name for p in (tmp_path / "out" / "out").iterdir()}
+    assert len([b for b in batches if b.startswith("batch=")]) == 9
+
+
+def test_reload_goes_on_after_errors(spark, tmp_path):
+    t = K.SnapshotTable(spark, str(tmp_path / "t"))
+    t.write(spark.createDataFrame([(9,)], "k int"))
+
+    def read(name):
+        if name == "bad":
+            raise ValueError("no such source")
+        return spark.createDataFrame([(int(name),)], "k int")
+
+    audit = {r.chunk: (r.rows, r.status, r.error) for r in T.reload_chunks(t, ["1", "bad", "2"], read, str(tmp_path / "stage")).collect()}
+    assert audit == {"1": (1, "complete", None), "bad": (0, "failed", "no such source"), "2": (1, "complete", None)}
+    assert rows(t.read()) == [(1,), (2,)]
+    T.reload_chunks(t, ["bad"], read, str(tmp_path / "stage2"))
+    assert rows(t.read()) == [(1,), (2,)]
+
+
+def test_lookups(spark):
+    f = spark.createDataFrame
+    ids = f([("a", 2), ("a", 1), ("b", 3)], "label string, id int")
+    df = f([("a",), ("b",), (None,)], "name string")
+    assert rows(J.resolve_ids(df, "name", ids, "label", "id")) == [("a", 1), ("b", 3), (None, None)]
+    with pytest.raises(ValueError, match="'x'"):
+        J.resolve_ids(df.unionByName(f([("x",)], "name string")), "name", ids, "label", "id")
+    chain = J.id_chain(f([(1,), (2,), (None,)], "s int"), "s", [(f([(1, 10), (2, 20)], "id int, wave int"), "id", "wave"), (f([(10, 7)], "v int, year int"), "v", "year")])
+    assert rows(chain) == [(1, 10, 7), (2, 20, None), (None, None, None)]
+    assert rows(J.key_union([(f([("u",), ("",), (None,)], "a string"), "a"), (f([("u",), ("w",)], "b string"), "b")], "k")) == [("u",), ("w",)]
+    years = f([("s", 2020, 9.0), ("s", 2021, 5.0), ("s", 2021, 7.0), ("s", 2021, None)], "site string, y int, v double")
+    for lookup in (years, years.orderBy(F.desc("v")), years.orderBy("v")):
+        assert rows(J.by_year_or_latest(f([("s", 2020), ("s", 2023), ("t", 2020)], "site string, y int"), lookup, "site", "y", "v", 1.0)) == [("s", 2020, 9.0), ("s", 2023, 7.0), ("t", 2020, 1.0)]
+
+
+def test_names_and_booleans():
+    assert [snake_case(x) for x in ("idUser", "iduser", "IdX", "id", "Créé le", "ID Site", "id_a", "idX")] == ["id_user", "id_user", "id_x", "id", "cree_le", "id_site", "id_a", "id_x"]
+
+
+def test_forecast_helpers(spark, tmp_path):
+    f, d = spark.createDataFrame, dt.date
+    future = f([("s", d(2024, 1, 1), 5.0), ("s", d(2024, 1, 2), None)], "site string, d date, v double")
+    known = f([("s", d(2024, 1, 1), 2.0), ("s", d(2024, 1, 1), 1.0)], "site string, d date, v double")
+    assert rows(M.fill_known(future, known, ["site", "d"], "v")) == [("s", d(2024, 1, 1), 3.0), ("s", d(2024, 1, 2), None)]
+    cuts = f([(d(2024, 1, i),) for i in (1, 8, 15)], "cutoff date")
+    assert rows(M.resumed(cuts, cuts.where("cutoff <= '2024-01-08'"))) == [(d(2024, 1, 15),)]
+    assert M.resumed(cuts, cuts.limit(0)).count() == 3 and M.resumed(cuts, None).count() == 3
+    M.route_by_tenant(f([("a", 1.0), ("b", 2.0), ("c", 3.0)], "site string, p double"), f([("a", "t1"), ("b", "t2"), ("b", "t2")], "site string, tenant string"), "site", "tenant", str(tmp_path / "out"))
+    assert rows(spark.read.parquet(str(tmp_path / "out" / "tenant=t2"))) == [("b", 2.0)] and spark.read.parquet(str(tmp_path / "out")).count() == 2
+    ar = M.weekday_autoregression(f([("s", d(2024, 1, 1), 4.0), ("s", d(2024, 1, 8), 6.0)], "uai string, d date, v double"), "uai", "d", "v")
+    assert {(r.uai, r.prediction) for r in ar.collect()} == {("s", 5.0)}

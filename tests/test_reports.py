@@ -92,3 +92,27 @@ def test_loads_and_predictions(spark):
     years = f([("2023",)], "school_year string")
     out = R.etablissement_detail(f([("a", "n", "1"), ("b", "m", "x")], "uai string, nom_etablissement string, code_academie string"), f([("a", "2022", 1.0), ("a", "2022", 3.0)], "uai string, school_year string, ips double"), {1: "C"}, years)
     assert sorted((r.uai, r.school_year, r.ips, r.vacances_zone) for r in out.collect()) == [("a", "2022", 3.0, "C"), ("b", "2023", None, None)]
+
+
+def test_validations_filters_and_site_report(t, spark):
+    rows = sorted((r.organization, r.day.day, r.approved, r.approved_total) for r in R.suivi_validations(t).collect())
+    assert rows == [("A", 5, 1, 1)]
+    f = {(r.dimension, r.value) for r in R.filter_tables(t).collect()}
+    assert ("organization", "B") in f and ("tranche", "none") in f and ("wave", "wave") in f and not any(v is None for _, v in f)
+    assert {(r.total, r.organization) for r in R.tarification_2(t).collect()} == {(1, "A"), (1, "B")}
+    store = spark.createDataFrame([("u", "m", 1.0, 2.0), ("u", "m", 4.0, 2.0), ("w", "m", 9.0, 3.0)], "uai string, model string, prediction double, effectif_reel double")
+    out = R.site_report(store)
+    assert out.columns == ["uai", "model", "n", "mae", "rmse", "mape", "bias"] and [(r.uai, r.mae, r.rmse, r.mape) for r in out.collect()] == [("w", 6.0, 6.0, 200.0), ("u", 1.5, 1.58, 75.0)]
+
+
+def test_constatation_reporting(spark):
+    c = spark.createDataFrame([("g", "s", "A", "meal", 1, 10.0, 2.0, 0.5, False), ("g", "s", "A", "meal", 1, 5.0, None, None, None), ("g", "s", "A", "meal", 1, 99.0, 1.0, 1.0, True)],
+        "label_group string, subgroup string, tranche_label string, billing_type string, trimestre_id long, bill_amount double, aid_amount double, fee_adjustment_amount double, is_simulation boolean")
+    assert [(r.billed, r.aid, r.adjusted, r.bills) for r in R.constatation_reporting({"constatation": c}).collect()] == [(15.0, 2.0, 0.5, 2)]
+
+
+def test_reports_by_school_year(t, spark, tmp_path):
+    R.by_school_year({"tarification_1": R.tarification_1(t)}, str(tmp_path))
+    assert (tmp_path / "tarification_1" / "id_school_year=3").is_dir() and spark.read.parquet(str(tmp_path / "tarification_1")).count() == 3
+    days = {(r.day.day, r.created, r.deposited, r.approved) for r in R.daily_suivi(t).collect()}
+    assert days == {(2, 1, 0, 0), (3, 2, 1, 0), (5, 0, 0, 1)}
