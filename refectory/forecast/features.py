@@ -11,6 +11,7 @@ from ..functions import calendar as C
 from ..functions.scalars import school_year
 from ..operators import aggregates as A
 from ..operators import windows as W
+from ..session import staged
 
 
 @dataclass(frozen=True)
@@ -90,11 +91,11 @@ def future_frame(df: DataFrame, c: Columns, first_day: str, days: int, last_know
 def prepare(df: DataFrame, c: Columns, as_of: str, zone: str, periods: DataFrame, holidays: DataFrame) -> DataFrame:
     """M1: all of it: clean, rolling features, calendar, then sparse weekdays and outliers go, opening pattern, size group.
 
-    Two steps that several aggregates read again are kept (persisted); the caller may clear them when the result is written.
+    Steps that several aggregates read again are written as tables in between.
     """
     zones = df.groupBy(c.site).agg(F.max(zone).alias(zone))
-    out = rolling(clean(df, c, as_of).persist(), c).join(zones, c.site).persist()
+    out = staged(rolling(staged(clean(df, c, as_of), "clean"), c).join(zones, c.site), "rolling")
     out = calendar(out, c, zone, periods, holidays)
-    out = without_outliers(dense_weekdays(out, c), c).persist()
+    out = staged(without_outliers(staged(dense_weekdays(out, c), "dense"), c), "features")
     out = with_opening(out, opening_pattern(out, c), c)
     return out.join(A.size_groups(out, c.site, c.value).select(c.site, "group_size"), c.site)

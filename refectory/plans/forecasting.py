@@ -11,7 +11,8 @@ from ..functions import calendar as C
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import windows as W
-from .base import query, table
+from ..session import staged, work_path
+from .base import SQL, query, table
 from .catering import OFF
 
 COLS = X.Columns("site", "d", "v")
@@ -187,12 +188,73 @@ def ensemble_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.join(M.dominant(w, ["site"]).select("site", F.col("model").alias("dominant")), "site")
 
 
+@query()
+def ensemble_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights by size group over past stretches, formed from sums, and the dominant model."""
+    f = stored_forecasts(spark, sf_dir)
+    f = f.join(A.size_groups(f, "site", "y").select("site", "group_size"), "site")
+    w = M.cross_validated_weights(f, "d", ["group_size"], "y", ["m1", "m2", "m3"], 2, 400, by_sums=True)
+    return w.join(M.dominant(w, ["group_size"]).select("group_size", F.col("model").alias("dominant")), "group_size")
+
+
+@query(SQL["backtest_cutoffs"])
+def backtest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backtest that goes on after the last cut-off of an earlier run gives what one run gives."""
+    a = attendance(spark, sf_dir)
+    cuts = M.cutoffs(a, "d", 70, 28)
+    middle = a.agg(F.date_add(F.min("d"), F.floor(F.datediff(F.max("d"), F.min("d")) / 2).cast("int")).alias("middle"))
+    store = staged(M.backtest_moving_average(a, "site", "d", "v", cuts.crossJoin(middle).where("cutoff <= middle").drop("middle")), "store")
+    return store.unionByName(M.backtest_moving_average(a, "site", "d", "v", M.resumed(cuts, store)))
+
+
+@query(f"""WITH k AS (SELECT site, arg_max(v, d) AS v FROM {_ATT} GROUP BY ALL), f AS (SELECT site, v, unnest(generate_series(DATE '1998-06-01', DATE '1998-06-14', INTERVAL 1 DAY))::DATE AS d FROM k)
+SELECT f.site, f.d, coalesce(a.v, CASE WHEN f.site % 2 = 0 THEN f.v END) AS v FROM f LEFT JOIN {_ATT} a ON a.site = f.site AND a.d = f.d""")
+def known_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days to be forecast that the history already knows."""
+    a = attendance(spark, sf_dir)
+    future = X.future_frame(a, COLS, "1998-06-01", 14, ["v"]).select("site", "d", F.when(F.col("site") % 2 == 0, F.col("v")).alias("v"))
+    return M.fill_known(future, a, ["site", "d"], "v")
+
+
+@query(f"""WITH c AS (SELECT site, {_WD} AS day, avg(v) AS cell FROM {_ATT} GROUP BY ALL), r AS (SELECT site, day, avg(v) AS recent FROM ({_N8}) WHERE n <= 8 GROUP BY ALL)
+SELECT 't' || site % 3 AS tenant, site, day, coalesce(recent, cell, (SELECT avg(cell) FROM c)) AS prediction FROM c LEFT JOIN r USING (site, day)""")
+def tenant_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts over all tenants' sites, written by tenant and read back."""
+    p = M.moving_average(attendance(spark, sf_dir).withColumn("day", F.weekday("d")), ["site"], "day", "d", "v")
+    sites = p.select("site", F.concat(F.lit("t"), (F.col("site") % 3).cast("string")).alias("tenant")).distinct()
+    at = work_path(spark, "tenants")
+    M.route_by_tenant(p, sites, "site", "tenant", at)
+    return spark.read.parquet(at)
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = spark.createDataFrame([(x,) for x in HOLIDAYS], "date string").select(F.to_date("date").alias("date"))
     return X.prepare(attendance(spark, sf_dir).withColumn("zone", F.col("site") % 2), COLS, "1998-07-01", "zone", zones(spark), h)
 
 
-@query()
+_BACK = lambda c, g: f"coalesce({c}, first_value({c} IGNORE NULLS) OVER (PARTITION BY {g} ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), (SELECT avg({c}) FROM l)) AS {c}"
+
+
+@query(f"""WITH c AS (SELECT *, {_WD} AS day FROM {_ATT} WHERE d <= DATE '1998-07-01' AND v > 1),
+r AS (SELECT *, CASE WHEN count(v) OVER w = 42 THEN avg(v) OVER w END AS mobile_mean_42, CASE WHEN count(v) OVER x = 8 THEN avg(v) OVER x END AS daily_mobile_mean_8, avg(v) OVER (PARTITION BY site, day) AS weekday_mean FROM c
+  WINDOW w AS (PARTITION BY site ORDER BY d ROWS 41 PRECEDING), x AS (PARTITION BY site, day ORDER BY d ROWS 7 PRECEDING)),
+l AS (SELECT *, lag(mobile_mean_42, 21) OVER s AS mobile_mean_42_shifted_21, lag(mobile_mean_42, 35) OVER s AS mobile_mean_42_shifted_35, lag(daily_mobile_mean_8, 4) OVER t AS daily_mobile_mean_8_shifted_4, lag(daily_mobile_mean_8, 6) OVER t AS daily_mobile_mean_8_shifted_6 FROM r
+  WINDOW s AS (PARTITION BY site ORDER BY d), t AS (PARTITION BY site, day ORDER BY d)),
+f AS (SELECT site, d, v, day, mobile_mean_42, daily_mobile_mean_8, weekday_mean, {_BACK('mobile_mean_42_shifted_21', 'site')}, {_BACK('mobile_mean_42_shifted_35', 'site')}, {_BACK('daily_mobile_mean_8_shifted_4', 'site, day')}, {_BACK('daily_mobile_mean_8_shifted_6', 'site, day')} FROM l),
+p AS (SELECT *, site % 2 AS zone, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CASE WHEN month(d) >= 8 THEN year(d) || '-' || (year(d) + 1) ELSE (year(d) - 1) || '-' || year(d) END AS school_year FROM f),
+j AS (SELECT k.d, k.zone, a, b, k.d BETWEEN a AND b AS i, a - k.d AS n, k.d - b AS m FROM (SELECT DISTINCT d, zone FROM p) k LEFT JOIN {_ZONES} ON k.zone = p.zone),
+h AS (SELECT d, zone, coalesce(max(CAST(i AS INTEGER)), 0) AS is_holiday, CASE WHEN bool_or(i) THEN 0 ELSE least(30, coalesce(min(CASE WHEN n > 0 THEN n END), 30)) END AS days_before, CASE WHEN bool_or(i) THEN 0 ELSE least(30, coalesce(min(CASE WHEN m > 0 THEN m END), 30)) END AS days_after FROM j GROUP BY ALL),
+q AS (SELECT p.*, is_holiday, CAST(days_before AS INTEGER) AS days_before, CAST(days_after AS INTEGER) AS days_after, CASE WHEN p.d IN (SELECT day FROM {_HOL}) THEN 1 ELSE 0 END AS is_public_holiday,
+  CASE WHEN p.d IN (SELECT CASE isodow(day) WHEN 2 THEN day - 1 WHEN 4 THEN day + 1 END FROM {_HOL} WHERE isodow(day) IN (2, 4)) THEN 1 ELSE 0 END AS is_bridge FROM p JOIN h ON p.d = h.d AND p.zone = h.zone),
+e AS (SELECT site, day FROM (SELECT *, avg(n) OVER (PARTITION BY site) AS mean FROM (SELECT site, day, count(*) AS n FROM q GROUP BY site, day)) WHERE n >= mean / 4),
+g AS (SELECT q.* FROM q SEMI JOIN e USING (site, day)),
+b AS (SELECT site, day, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM g GROUP BY ALL),
+o AS (SELECT g.* FROM g JOIN b USING (site, day) WHERE v BETWEEN greatest(0, q1 - 2.5 * (q3 - q1)) AND q3 + 2.5 * (q3 - q1)),
+w AS (SELECT site, school_year, greatest(1.0, (max(d) - min(d) + 1) / 7) AS w, {", ".join(f"count(*) FILTER (isodow(d) = {i + 1}) AS c{i}" for i in range(7))} FROM o GROUP BY ALL),
+u AS (SELECT site, school_year, {" || ".join(f"CASE WHEN c{i} / w >= 0.3 THEN '1' ELSE '0' END" for i in range(7))} AS opening_days FROM w),
+m AS (SELECT site, avg(v) AS mean_value FROM o GROUP BY ALL), z AS (SELECT quantile_cont(mean_value, 0.25) AS a, quantile_cont(mean_value, 0.5) AS b, quantile_cont(mean_value, 0.75) AS c FROM m)
+SELECT o.*, opening_days, CASE WHEN is_holiday = 1 OR is_public_holiday = 1 THEN 0 ELSE CAST(substr(opening_days, day + 1, 1) AS INTEGER) END AS is_day_usually_open, CASE WHEN mean_value <= z.a THEN 'XS' WHEN mean_value <= z.b THEN 'S' WHEN mean_value <= z.c THEN 'M' ELSE 'L' END AS group_size
+FROM o JOIN u USING (site, school_year) JOIN m USING (site), z""")
 def prepared_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1, M2, M6: the whole feature frame."""
     return prepared(spark, sf_dir)
@@ -203,9 +265,10 @@ def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees over all sites, for the last 35 days."""
     from ..operators.rows import split_by_date
 
-    p = prepared(spark, sf_dir).withColumnRenamed("group_size", "kind").persist()
+    index = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 20).alias("site"), (1995 + F.col("s_suppkey") % 3).cast("int").alias("year"), F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("ips"))
+    p = staged(J.by_year_or_latest(prepared(spark, sf_dir), index, "site", "year", "ips", 100.0).withColumnRenamed("group_size", "kind"), "prepared")
     train, test = split_by_date(p, "d", 35)
-    numeric = ["day", "month", "mobile_mean_42_shifted_21", "daily_mobile_mean_8_shifted_4", "weekday_mean", "is_holiday", "days_before", "days_after", "is_public_holiday", "is_bridge"]
+    numeric = ["year", "month", "day", "mobile_mean_42_shifted_21", "daily_mobile_mean_8_shifted_4", "weekday_mean", "is_holiday", "is_public_holiday", "is_bridge", "days_before", "days_after", "ips", "is_day_usually_open"]
     return M.gbt_forecast(train, test, numeric, "kind", "site", "v").select("site", "d", "v", "prediction")
 
 
@@ -220,7 +283,7 @@ def seasonal_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 35 days from those before."""
     from ..operators.rows import split_by_date
 
-    train, test = split_by_date(prepared(spark, sf_dir).persist(), "d", 35)
+    train, test = split_by_date(staged(prepared(spark, sf_dir), "prepared"), "d", 35)
     return M.seasonal_regression(train, test, "site", "d", "v", ["mobile_mean_42_shifted_21", "weekday_mean", "is_holiday", "is_public_holiday"])
 
 

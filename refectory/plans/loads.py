@@ -11,10 +11,10 @@ from ..functions import calendar as C
 from ..functions import scalars as S
 from ..operators import joins as J
 from ..operators import tables as K
+from ..session import work_path
 from ..sources import files
 from ..streaming import sync as T
 from .base import query, table
-from .streams import work_path
 
 
 @dataclass(frozen=True)

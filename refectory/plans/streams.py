@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as C
 from ..operators import joins as J
 from ..operators.tables import SnapshotTable
+from ..session import work_path
 from ..streaming import sync as T
 from .base import query, table
 
 
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new folder in that of spark.checkpoint.dir; where none is set, a temporary one in local mode (tests), an error on a cluster."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir is not set: streams need a folder that all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='spark-refectory-')}"
-    return f"{base}/refectory/{name}-{uuid.uuid4().hex}"
-
-
 @query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts by day as a stream over landed files, each batch's counts under its number."""
