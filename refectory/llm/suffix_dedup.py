@@ -1,9 +1,9 @@
 """Suffix-array de-duplication of repeated passages.
 
 A passage of `length` bytes that occurs twice has the same minimizer in both places: of its k-grams the one of least hash, the first
-of equals. So only suffixes at minimizers are sorted, by minimizer: those of one k-gram meet in one task. There they are put in order
-by what follows and, mirrored, by what precedes, deep-shallow: word by word in groups of equals down to a shallow depth, and by blind
-tries beyond it. The common prefixes of neighbours then tell, for each window that a minimizer stands for, which windows are equal.
+of equals. So only suffixes at minimizers are sorted, by minimizer: those of one k-gram meet in one task. There they are put in order by
+what follows and, mirrored, by what precedes, deep-shallow: by multikey quicksort, eight bytes a character, down to a shallow depth, and
+by blind tries beyond it. The common prefixes of neighbours then tell, for each window that a minimizer stands for, which windows are equal.
 """
 
 from __future__ import annotations
@@ -16,15 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import maybe_in, read_table, row_key, staged
+from .common import drop_staged, join_hot, maybe_in, read_table, row_key, staged
 
 GRAM = 32
 #: Bits of the filter that tells minimizers met once from others; more minimizers than that only make it let more through.
 FILTER_BITS = 1 << 26
 CHUNK = 3_000_000
-SPAN = "k1 long, start long, stop long"
-ROW = "h long, doc_id long, k1 long, pos long, low short, high short, before binary, after binary, start long, stop long, hot boolean"
-WINDOW = "w1 long, w2 long, doc_id long, k1 long, start long"
+SPAN = "k1 long, k2 long, start long, stop long"
+ROW = "h long, doc_id long, k1 long, k2 long, pos long, low short, high short, before binary, after binary, start long, stop long, hot boolean"
+WINDOW = "w1 long, w2 long, doc_id long, k1 long, k2 long, start long"
 
 
 def minimizers(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -59,19 +59,22 @@ def minimizers(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndar
     return a[first], h[a[first]], a[first] - p[last], a[first] - p[first]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
-    """Texts as bytes end to end, their ends, and their (doc_id, k1). A very long text is a chunk of its own, cut with overlaps of its windows."""
+def _chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
+    """Texts as bytes end to end, their ends, and their (doc_id, k1, k2, place in the text).
+
+    A very long text goes in pieces that share length - 1 bytes, so that each of its windows is in one piece.
+    """
     parts, keys, size = [], [], 0
 
     def out():
         return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([len(x) for x in parts]), list(keys)
 
     for batch in batches:
-        for text, doc, k in zip(batch["text"].to_pylist(), batch["doc_id"].to_pylist(), batch["k1"].to_pylist(), strict=True):
+        for text, doc, *k in zip(*(batch[c].to_pylist() for c in ("text", "doc_id", "k1", "k2")), strict=True):
             raw = (text or "").encode("utf-8", "surrogatepass")
-            # 2^24 places at most in a chunk; a longer text goes in pieces that share their margins
-            for at in range(0, max(len(raw) - 256, 1), 4 * CHUNK):
-                parts.append(raw[at : at + 4 * CHUNK + 256]), keys.append((doc, k, at))
+            # 2^24 places at most in a chunk
+            for at in range(0, max(len(raw) - length + 1, 1), 4 * CHUNK):
+                parts.append(raw[at : at + 4 * CHUNK + length - 1]), keys.append((doc, *k, at))
                 size += len(parts[-1])
                 if size > CHUNK:
                     yield out()
@@ -83,7 +86,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
 
 def _hashes(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for data, ends, _ in _chunks(batches):
+        for data, ends, _ in _chunks(batches, length):
             u, n = np.unique(minimizers(data, ends, length)[1], return_counts=True)
             yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(n)], names=["h", "n"])
 
@@ -93,12 +96,12 @@ def _hashes(length: int):
 def _contexts(length: int, bits, hot):
     """A row for each minimizer that may be met elsewhere, with the bytes around it; of equal surroundings in one batch the first only, the
     others being spans to remove right away. hot: minimizers that too many rows hold for one task."""
-    names = ["h", "doc_id", "k1", "pos", "low", "high", "before", "after", "start", "stop", "hot"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()]
+    names = ["h", "doc_id", "k1", "k2", "pos", "low", "high", "before", "after", "start", "stop", "hot"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, many = bits.value, hot.value if hot else None
-        for data, ends, keys in _chunks(batches):
+        for data, ends, keys in _chunks(batches, length):
             place, h, low, high = minimizers(data, ends, length)
             at = (h % np.uint64(FILTER_BITS)).astype(np.int64)
             keep = np.flatnonzero((words[at >> 6] >> (at & 63)) & 1)
@@ -109,21 +112,21 @@ def _contexts(length: int, bits, hot):
             raw = data.tobytes()
             seen: dict = {}
             rows = [[] for _ in names]
-            by_doc = sorted(range(len(keys)), key=lambda i: (keys[i][0] is None, keys[i][0] or 0, keys[i][1], keys[i][2]))
+            by_doc = sorted(range(len(keys)), key=lambda i: (keys[i][0] is None, keys[i][0] or 0, *keys[i][1:]))
             turn = np.empty(len(keys), np.int64)
             turn[by_doc] = np.arange(len(keys))
             for i in np.lexsort((place, turn[owner])).tolist():
                 p, o = int(place[i]), int(owner[i])
-                b, e, (doc, k, shift) = int(begin[o]), int(ends[o]), keys[o]
+                b, e, (doc, k1, k2, shift) = int(begin[o]), int(ends[o]), keys[o]
                 lo, hi = int(low[i]), int(high[i])
                 before, after = raw[max(b, p - hi) : p], raw[p : min(e, p + length - lo)]
                 own = (before, after, lo)
                 pos = p - b + shift
                 if own in seen:  # all its windows stood earlier
-                    row = (None, None, k, None, None, None, None, None, pos - hi, pos - lo + length, None)
+                    row = (None, None, k1, k2, None, None, None, None, None, pos - hi, pos - lo + length, None)
                 else:
                     seen[own] = True
-                    row = (int(h[i]), doc, k, pos, lo, hi, before[::-1], after, None, None, bool(crowded[i]))
+                    row = (int(h[i]), doc, k1, k2, pos, lo, hi, before[::-1], after, None, None, bool(crowded[i]))
                 for x, v in zip(rows, row, strict=True):
                     x.append(v)
             if rows[0]:
@@ -171,19 +174,49 @@ def blind_trie_order(strings: list[bytes]) -> list[int]:
     return out
 
 
+def multikey_quicksort(words: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows of words within groups, and for each place in it the number of the run of equal rows that it is in.
+
+    Each round takes all segments that aren't in order yet: a segment is parted by its rows' words at one depth into those below, at
+    and above a pivot; those at it go on with the next word.
+    """
+    n, width = words.shape
+    order = np.argsort(group, kind="stable")
+    starts = np.r_[True, group[order][1:] != group[order][:-1]] if n else np.zeros(0, bool)
+    begin = np.flatnonzero(starts)
+    size, depth = np.diff(np.r_[begin, n]), np.zeros(len(begin), np.int64)
+    while True:
+        live = (size > 1) & (depth < width)
+        begin, size, depth = begin[live], size[live], depth[live]
+        if not len(begin):
+            return order, np.cumsum(starts) - 1
+        first = np.cumsum(size) - size
+        seg = np.repeat(np.arange(len(size)), size)
+        local = np.arange(len(seg)) - first[seg]
+        pos = begin[seg] + local
+        row = order[pos]
+        word = words[row, depth[seg]]
+        a, b, c = word[first], word[first + size // 2], word[first + size - 1]
+        pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[seg]
+        low, same = word < pivot, word == pivot
+        before_low, before_same = np.cumsum(low) - low, np.cumsum(same) - same
+        before_low, before_same = before_low - before_low[first][seg], before_same - before_same[first][seg]
+        n_low, n_same = np.add.reduceat(low, first, dtype=np.int64), np.add.reduceat(same, first, dtype=np.int64)
+        at = np.where(low, before_low, np.where(same, n_low[seg] + before_same, (n_low + n_same)[seg] + local - before_low - before_same))
+        order[begin[seg] + at] = row
+        n_high = size - n_low - n_same
+        begin = np.concatenate([begin, begin + n_low, begin + n_low + n_same])
+        size = np.concatenate([n_low, n_same, n_high])
+        depth = np.concatenate([depth, depth + 1, depth])
+        starts[begin[size > 0]] = True
+
+
 def deep_shallow(rows: np.ndarray, group: np.ndarray, shallow: int = 32) -> tuple[np.ndarray, np.ndarray]:
     """Order of rows (bytes, one width) within groups, and common prefixes with the row before in that order, -1 where a group begins."""
     n, width = rows.shape
-    order = np.argsort(group, kind="stable")
-    tie = np.cumsum(np.r_[0, group[order][1:] != group[order][:-1]]) if n else np.zeros(0, np.int64)
-    for at in range(0, min(shallow, width), 8):
-        word = np.zeros((n, 8), np.uint8)
-        part = rows[:, at : at + 8]
-        word[:, : part.shape[1]] = part
-        word = word.view(">u8").ravel()[order]
-        sub = np.lexsort((word, tie))
-        order, word, tie = order[sub], word[sub], tie[sub]
-        tie = np.cumsum(np.r_[0, (tie[1:] != tie[:-1]) | (word[1:] != word[:-1])])
+    head = np.zeros((n, -(-min(shallow, width) // 8) * 8), np.uint8)
+    head[:, : min(shallow, width)] = rows[:, :shallow]
+    order, tie = multikey_quicksort(head.view(">u8").astype(np.uint64), group)
     if width > shallow and n:
         first = np.flatnonzero(np.r_[True, tie[1:] != tie[:-1]])
         size = np.diff(np.r_[first, n])
@@ -199,37 +232,31 @@ def deep_shallow(rows: np.ndarray, group: np.ndarray, shallow: int = 32) -> tupl
     return order, common
 
 
-def _padded(column: pa.Array, width: int) -> np.ndarray:
-    out = np.zeros((len(column), width), np.uint8)
-    for i, x in enumerate(column.to_pylist()):
-        out[i, : len(x)] = np.frombuffer(x, np.uint8)
+def _padded(column: pa.BinaryArray, width: int) -> np.ndarray:
+    """Byte strings as rows, filled up with zeros."""
+    n = len(column)
+    edge = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + n + 1]
+    out = np.zeros((n, width), np.uint8)
+    out[np.arange(width) < np.diff(edge)[:, None]] = np.frombuffer(column.buffers()[2], np.uint8)[edge[0] : edge[-1]]
     return out
 
 
-def repeated_spans(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans (k1, start, stop) of windows that also start earlier, among the minimizers of whole k-grams."""
-    empty = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    whole = table
-    h = table["h"].to_numpy()
-    doc = table["doc_id"].to_pandas()
+def repeated_spans(table: pa.Table, length: int) -> tuple[np.ndarray, ...]:
+    """Spans (k1, k2, start, stop) of windows that also start earlier, among the minimizers of whole k-grams.
+
+    A minimizer at which a very long text was cut is there twice, each time for other windows.
+    """
+    empty = tuple(np.zeros(0, np.int64) for _ in range(4))
+    h, doc = table["h"].to_numpy(), table["doc_id"].to_pandas()
     none = doc.isna().to_numpy()
     doc = doc.fillna(0).astype("int64").to_numpy()
-    k1, pos = table["k1"].to_numpy(), table["pos"].to_numpy()
-    order = np.lexsort((pos, k1, doc, none, h))
-    same = np.r_[False, (h[order][1:] == h[order][:-1]) & (k1[order][1:] == k1[order][:-1]) & (pos[order][1:] == pos[order][:-1])]
-    if same.any():  # pieces of a very long text that share a margin: each has some of the windows
-        by = [table[c].to_numpy().astype(np.int64) for c in ("low", "high")]
-        lows, highs = (np.lexsort((x, pos, k1, doc, none, h))[~same] for x in (by[0], -by[1]))
-        table = table.take(pa.array(order[~same]))
-        for name, at in (("low", lows), ("after", lows), ("high", highs), ("before", highs)):
-            table = table.set_column(table.schema.get_field_index(name), name, whole[name].take(pa.array(at)))
-        h, order = h[order[~same]], np.arange(len(lows))
+    order = np.lexsort((-table["high"].to_numpy().astype(np.int64), *(table[c].to_numpy() for c in ("pos", "k2", "k1")), doc, none, h))
     _, group, size = np.unique(h[order], return_inverse=True, return_counts=True)
     order, group = order[size[group] > 1], group[size[group] > 1]
     if not len(order):
         return empty
     table = table.take(pa.array(order)).combine_chunks()
-    k1, pos, low, high = (table[c].to_numpy().astype(np.int64) for c in ("k1", "pos", "low", "high"))
+    k1, k2, pos, low, high = (table[c].to_numpy().astype(np.int64) for c in ("k1", "k2", "pos", "low", "high"))
     sides = []
     for name, width in (("before", length - GRAM), ("after", length)):
         rank, common = deep_shallow(_padded(table[name].combine_chunks(), width), group)
@@ -255,11 +282,12 @@ def repeated_spans(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray
         return empty
     row = np.concatenate(found_row)
     start = pos[row] - np.concatenate(found_offset)
-    by = np.lexsort((start, k1[row]))
-    key, start = k1[row][by], start[by]
-    new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (start[1:] > start[:-1] + length)])
+    by = np.lexsort((start, k2[row], k1[row]))
+    row, start = row[by], start[by]
+    k1, k2 = k1[row], k2[row]
+    new = np.flatnonzero(np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (start[1:] > start[:-1] + length)])
     last = np.r_[new[1:], len(start)] - 1
-    return key[new], start[new], start[last] + length
+    return k1[new], k2[new], start[new], start[last] + length
 
 
 def _windows(length: int):
@@ -277,7 +305,7 @@ def _windows(length: int):
             start = (pos - high)[row] + np.arange(len(row)) - first[row]
             w = np.frombuffer(b"".join(sums), np.int64).reshape(-1, 2)
             at = pa.array(row)
-            yield pa.record_batch([pa.array(w[:, 0]), pa.array(w[:, 1]), batch["doc_id"].take(at), batch["k1"].take(at), pa.array(start)], names=["w1", "w2", "doc_id", "k1", "start"])
+            yield pa.record_batch([pa.array(w[:, 0]), pa.array(w[:, 1]), batch["doc_id"].take(at), batch["k1"].take(at), batch["k2"].take(at), pa.array(start)], names=["w1", "w2", "doc_id", "k1", "k2", "start"])
 
     return run
 
@@ -285,24 +313,20 @@ def _windows(length: int):
 def crowded_spans(rows: DataFrame, length: int, most: int) -> DataFrame:
     """Spans as of repeated_spans, of minimizers that too many rows hold for one task: windows find their least occurrence by aggregation.
 
-    Windows met more than `most` times are few and sent to the tasks, so no key of the join has more rows than that.
+    Windows met more than `most` times are sent to the tasks, the 65,536 most frequent ones at most.
     """
     windows = rows.mapInArrow(_windows(length), WINDOW)
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "start")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "start")
     lead = windows.groupBy("w1", "w2").agg(F.min(place).alias("lead"), F.count("*").alias("n")).where("n > 1")
-    lead = staged(lead, "leads")
-    often, seldom = lead.where(F.col("n") > most).drop("n"), lead.where(F.col("n") <= most).drop("n")
-    often = F.broadcast(often)
-    found = windows.join(often, ["w1", "w2"]).unionByName(windows.join(F.broadcast(often.select("w1", "w2")), ["w1", "w2"], "left_anti").join(seldom, ["w1", "w2"]))
-    return found.where(place != F.col("lead")).select("k1", "start", (F.col("start") + length).alias("stop")).distinct()
+    found = join_hot(windows, staged(lead, "leads"), ["w1", "w2"], "n", most)
+    return found.where(place != F.col("lead")).select("k1", "k2", "start", (F.col("start") + length).alias("stop")).distinct()
 
 
 def _sorted_task(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [b for b in batches if b.num_rows]
         if own:
-            k, a, b = repeated_spans(pa.Table.from_batches(own), length)
-            yield pa.record_batch([pa.array(k), pa.array(a), pa.array(b)], names=["k1", "start", "stop"])
+            yield pa.record_batch([pa.array(x) for x in repeated_spans(pa.Table.from_batches(own), length)], names=["k1", "k2", "start", "stop"])
 
     return run
 
@@ -338,20 +362,22 @@ def suffix_dedup(docs: DataFrame, length: int = 100, partition_rows: int = 150_0
     thinned to its distinct surroundings in each batch before the shuffle. One met more than hot_rows times is not sorted in one task:
     its windows are told apart by 128 bits each.
     """
-    spark = docs.sparkSession
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key("doc_id", "text")[0])
+    spark, key = docs.sparkSession, ["k1", "k2"]
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row_key("doc_id", "text"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    narrow = staged(keyed.where(size >= length).select("doc_id", "k1", size.alias("n"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(3), "text").alias("t2")), "texts")
-    lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1")
-    copies = narrow.groupBy("t1", "t2").agg(F.min(lead).alias("lead"), F.count("*").alias("rows")).where("rows > 1")
-    copies = staged(narrow.join(copies, ["t1", "t2"]).groupBy("k1", "n").agg((F.col("k1") == F.min("lead.k1")).alias("first"), F.count("*").alias("rows")).where("not first or rows > 1"), "copies")
-    again, repeated = copies.where("not first").select("k1", "n"), copies.where("first").select("k1")
-    long = keyed.where(size >= length).select("doc_id", "k1", "text")
+    narrow = staged(keyed.where(size >= length).select("doc_id", *key, size.alias("n"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(3), "text").alias("t2")), "texts")
+    lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *key)
+    copies = staged(narrow.groupBy("t1", "t2").agg(F.min(lead).alias("lead"), F.count("*").alias("rows")).where("rows > 1"), "leads")
+    first = (F.col("k1") == F.col("lead.k1")) & (F.col("k2") == F.col("lead.k2"))
+    copies = join_hot(narrow, copies, ["t1", "t2"], "rows").groupBy(*key, "n").agg(F.max(first).alias("first"), F.count("*").alias("rows"))
+    copies = staged(copies.where("not first or rows > 1"), "copies")
+    again, repeated = copies.where("not first").select(*key, "n"), copies.where("first").select(*key)
+    long = keyed.where(size >= length).select("doc_id", *key, "text")
     maybe = maybe_in(copies.select(F.col("k1").alias("key")), F.col("k1"))
-    texts = long.where(~maybe).unionByName(long.where(maybe).join(copies, "k1", "left_anti"))
+    texts = long.where(~maybe).unionByName(long.where(maybe).join(copies, key, "left_anti"))
     # of rows that repeat one document one is searched; they are merged in each task before they move
-    once = long.where(maybe_in(repeated.select(F.col("k1").alias("key")), F.col("k1"))).groupBy("k1").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    texts = texts.unionByName(staged(once.join(repeated, "k1", "left_semi"), "repeated"))
+    once = long.where(maybe_in(repeated.select(F.col("k1").alias("key")), F.col("k1"))).groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    texts = texts.unionByName(staged(once.join(repeated, key, "left_semi"), "repeated"))
 
     hashes = texts.mapInArrow(_hashes(length), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("p", F.lit(64)).cast("int"))
@@ -369,10 +395,14 @@ def suffix_dedup(docs: DataFrame, length: int = 100, partition_rows: int = 150_0
     spans = rows.repartition(parts, "h").mapInArrow(_sorted_task(length), SPAN)
     if crowded:
         spans = spans.unionByName(crowded_spans(found.where("hot").drop("start", "stop", "hot"), length, hot_rows))
-    spans = spans.unionByName(found.where("h is null").select("k1", "start", "stop"))
-    spans = spans.unionByName(again.select("k1", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop")))
-    spans = staged(spans, "spans").groupBy("k1").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    out = keyed.join(spans, "k1", "left").select("doc_id", "text", "spans")
+    spans = spans.unionByName(found.where("h is null").select(*key, "start", "stop"))
+    spans = spans.unionByName(again.select(*key, F.lit(0).cast("long").alias("start"), F.col("n").alias("stop")))
+    spans = staged(staged(spans, "spans").groupBy(*key).agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
+    drop_staged(found, narrow)
+    # texts that lose nothing stay where they are
+    maybe = maybe_in(spans.select(F.col("k1").alias("key")), F.col("k1"))
+    whole = keyed.where(~maybe).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    out = keyed.where(maybe).join(spans, key, "left").select("doc_id", "text", "spans").unionByName(whole)
     return out.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, stop: long>>, kept binary")
 
 
