@@ -30,9 +30,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of its smallest doc_id; documents without words all stay."""
-    groups = jaccard.jaccard_groups(docs, k=5, threshold=(4, 5))
-    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")  # a null id equals none: such rows stay
+    return jaccard.keep_one(docs.select(*COLUMNS), k=5, threshold=(4, 5))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
