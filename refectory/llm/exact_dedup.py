@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, maybe_in, staged, work_path
+from .common import SPACE, join_hot, maybe_in, staged, work_path
+
+#: Rows of one digest that are compared with one copy of its first content.
+COPIES = 500
 
 
 def normalised(text: str = "text") -> Column:
@@ -75,7 +78,8 @@ def exact_dedup(spark: SparkSession, path: str, digest: Callable[[Column], Colum
 
     Texts are equal when identical after normalised(). Null and empty texts are equal. Of equal texts the row with the smallest
     doc_id is kept (null ids last); of rows that also share the doc_id, the first by file and row number. An empty table gives no
-    rows. Columns other than doc_id and text are not read. Text is shuffled only for rows whose digest was seen more than once.
+    rows. Columns other than doc_id and text are not read. Text is shuffled only for rows whose digest was seen more than once; a digest
+    with many rows is dealt over several keys, each with a copy of the first content.
     """
     out = "doc_id bigint, file string, row bigint, digest string, keep_id bigint, group_size bigint, kept boolean, text_sha256 string"
     if spark.read.parquet(path).isEmpty():
@@ -84,16 +88,18 @@ def exact_dedup(spark: SparkSession, path: str, digest: Callable[[Column], Colum
     rows = _located(spark.read.parquet(path), digest)
     narrow = staged(rows.select("doc_id", "file", "row", "digest", sha256(F.col("norm")).alias("text_sha256")), "digests")
     # hits: rows of digests seen more than once, each compared with the content at its digest's place
-    many = state.where("group_size > 1").select("digest", F.col("first.file").alias("first_file"), F.col("first.row").alias("first_row"))
+    many = state.where("group_size > 1").select("digest", F.col("first.file").alias("first_file"), F.col("first.row").alias("first_row"), "group_size")
     leads = (F.col("file") == F.col("first_file")) & (F.col("row") == F.col("first_row"))
-    hits = staged(narrow.join(many, "digest").select("doc_id", "file", "row", "digest", leads.alias("leads")), "hits")
+    salts = F.ceil(F.col("group_size") / COPIES)
+    hits = staged(join_hot(narrow, many, ["digest"], "group_size").select("doc_id", "file", "row", "digest", leads.alias("leads"), salts.alias("salts")), "hits")
     key = F.xxhash64("file", "row")
     source = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), "text")
     content = source.where(maybe_in(hits.select(key.alias("key")), key)).join(hits, ["file", "row"]).withColumn("norm", normalised())
-    first = content.where("leads").select("digest", F.col("norm").alias("first_norm"))
-    unlike = content.where("not leads").join(first, "digest").where("norm != first_norm").select("digest").distinct()
+    first = content.where("leads").select("digest", F.col("norm").alias("first_norm"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    others = content.where("not leads").withColumn("salt", F.pmod(F.xxhash64("file", "row"), "salts"))
+    unlike = others.join(first, ["digest", "salt"]).where("norm != first_norm").select("digest").distinct()
     unlike = staged(unlike, "unlike")
-    joined = narrow.join(state, "digest")
+    joined = join_hot(narrow, state, ["digest"], "group_size")
     if unlike.isEmpty():
         joined = joined.select("*", F.col("first").alias("lead"), F.col("group_size").alias("n"))
     else:  # a digest of unlike texts (never met with SHA-256): told apart by the text itself
