@@ -121,22 +121,22 @@ def pack(pieces: DataFrame, capacity: int = 4096, carry: list[Column] | None = N
     held = staged(pieces.select(*own, *(carry if carry is not None else [F.col("ids")])), "pieces")
     extra = [c for c in held.columns if c not in own]
     n_slices = max(1, held.count() // slice_rows)
-    sliced = held.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(n_slices)))
-    sizes = staged(sliced.groupBy("length", "slice").agg(F.count("*").alias("n")), "lengths")
+    sliced = held.withColumn("__slice", F.pmod(F.xxhash64(*held.columns), F.lit(n_slices)))
+    sizes = staged(sliced.groupBy("length", "__slice").agg(F.count("*").alias("n")), "lengths")
     counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     if any(not 1 <= x <= capacity for x in counts):
         raise ValueError(f"pack: pieces of 1 to {capacity} tokens are expected")
-    base = sizes.select("length", "slice", (F.sum("n").over(Window.partitionBy("length").orderBy("slice")) - F.col("n")).alias("base"))
-    within = Window.partitionBy("length", "slice").orderBy("doc_id", "piece", "start")
-    ranked = sliced.withColumn("rank", F.row_number().over(within) - 1).join(base, ["length", "slice"])
-    ranked = ranked.select(*own, *extra, (F.col("rank") + F.col("base")).cast("long").alias("rank"))
+    base = sizes.select("length", "__slice", (F.sum("n").over(Window.partitionBy("length").orderBy("__slice")) - F.col("n")).alias("__base"))
+    within = Window.partitionBy("length", "__slice").orderBy("doc_id", "piece", "start")
+    ranked = sliced.withColumn("__rank", F.row_number().over(within) - 1).join(base, ["length", "__slice"])
+    ranked = ranked.select(*own, *extra, (F.col("__rank") + F.col("__base")).cast("long").alias("__rank"))
     runs = np.array(sorted(packing_plan(counts, capacity)), np.int64).reshape(-1, 6)
     names = [*own, *extra, "sequence_id", "offset"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = runs[:, 0] * (1 << 44) + runs[:, 1]
         for batch in batches:
-            size, rank = batch["length"].to_numpy(), batch["rank"].to_numpy()
+            size, rank = batch["length"].to_numpy(), batch["__rank"].to_numpy()
             r = runs[np.searchsorted(starts, size * (1 << 44) + rank, "right") - 1]
             nth = rank - r[:, 1]
             sequence, offset = r[:, 3] + nth // r[:, 4], r[:, 5] + nth % r[:, 4] * size
