@@ -130,16 +130,36 @@ def worker_tier(kind: str, path: str, value, known: dict | None, key: object) ->
     return _WORKER[kind, path][1]
 
 
-def frequent_lengths(docs: DataFrame, path: str, n_docs: int = 1000, max_chars: int = 16_384, size: int = 1 << 16) -> dict[str, int]:
-    """The first tier: lengths of at most size pre-tokens, the most frequent ones of n_docs documents of at most max_chars.
+def _frequent(size: int, longest: int = 64):
+    """Counts of pre-tokens by task: of a few hundred thousand at a time the `size` most frequent ones that come more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            own = [(x, n) for x, n in counts.most_common(size) if n > 1 and len(x) <= longest]
+            counts.clear()
+            return pa.record_batch([pa.array([x for x, _ in own], pa.string()), pa.array([n for _, n in own], pa.int64())], names=["chunk", "n"])
+
+        for batch in batches:
+            for text in batch["text"]:
+                counts.update((text.as_py() or "").split())
+                if len(counts) > 300_000:
+                    yield out()
+        yield out()
+
+    return run
+
+
+def frequent_lengths(docs: DataFrame, path: str, size: int = 1 << 16) -> dict[str, int]:
+    """The first tier: lengths of at most size pre-tokens, the most frequent ones over all documents.
 
     The bound is on what the driver reads and what is broadcast. The choice only decides which pre-tokens are found in the first
     tier; no count depends on it.
     """
-    rows = docs.select("text").where(F.length("text").between(1, max_chars)).take(n_docs)
-    chunks = Counter(x for r in rows for x in r["text"].split())
+    counts = docs.select("text").mapInArrow(_frequent(size), "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
     own = PreTokens(path, len)
-    own.learn(x for x, n in chunks.most_common(size) if n > 1)
+    own.learn(r["chunk"] for r in counts.orderBy(F.desc("n"), "chunk").limit(size).collect())
     return own.cache
 
 
