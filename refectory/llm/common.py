@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,22 @@ def drop_staged(*tables: DataFrame | None) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(operator: Callable, rows: int = 1000) -> Callable:
+    """The operator's eager jobs send fewer rows at a time to Python, which bounds memory where rows are whole texts or sets of shingles."""
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args: object, **options: object) -> object:
+        conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        held = conf.get(name)
+        conf.set(name, str(min(rows, int(held)) if int(held) > 0 else rows))
+        try:
+            return operator(docs, *args, **options)
+        finally:
+            conf.set(name, held)
+
+    return run
+
+
 def join_hot(left: DataFrame, right: DataFrame, on: list[str], weight: str, hot: int = 256, most: int = 1 << 16) -> DataFrame:
     """Inner join with right, which has one row for each key; weight: its column that tells how many rows of left have the key.
 

@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_staged, join_hot, maybe_in, read_table, row_key, staged
+from .common import drop_staged, join_hot, maybe_in, read_table, row_key, small_batches, staged
 
 GRAM = 32
 #: Bits of the filter that tells minimizers met once from others; more minimizers than that only make it let more through.
 FILTER_BITS = 1 << 26
-CHUNK = 3_000_000
+CHUNK = 2_000_000
 SPAN = "k1 long, k2 long, start long, stop long"
 ROW = "h long, doc_id long, k1 long, k2 long, pos long, low short, high short, before binary, after binary, start long, stop long, hot boolean"
 WINDOW = "w1 long, w2 long, doc_id long, k1 long, k2 long, start long"
@@ -352,6 +352,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch["doc_id"], pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array([[{"start": a, "stop": b} for a, b in x] for x in spans], kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
 
+@small_batches
 def suffix_dedup(docs: DataFrame, length: int = 100, partition_rows: int = 150_000, hot_rows: int = 150_000) -> DataFrame:
     """docs (doc_id, text, ...) -> doc_id, n_bytes, n_removed, spans (start, stop in bytes), kept (binary), one row for each row.
 
