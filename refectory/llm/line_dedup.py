@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, row_key, staged
+from .common import drop_staged, join_hot, read_table, row_key, staged
 
 OCC = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("pos", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("first", pa.int8())])
 FLUSH = 200_000
@@ -73,16 +73,22 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: Se
     A line's key is the line without white space ([\\x20\\x09-\\x0D]) at its ends and with A-Z lower-cased. Keys of at least
     min_chars code points found in at least min_docs rows lose all their lines. A null or empty text is one empty line and stays
     empty; a text that loses all lines becomes empty. Each row counts as a document, also one that repeats another. Other columns
-    aren't read. Lines are counted by 128-bit hashes: a row for each line goes through the shuffle, without its text, and the sum
-    per hash is pre-aggregated; the join that finds their places is one Spark may split where a line is very common.
+    aren't read; those of keep may have any names but the result's own. Lines are counted by 128-bit hashes: a row for each line goes
+    through the shuffle, without its text, and the sum per hash is pre-aggregated; very common lines find their places without a shuffle.
     """
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep, *row_key("doc_id", "text"))
+    if clash := {"doc_id", "kept_text", "n_lines", "n_dropped"} & {c.lower() for c in keep}:
+        raise ValueError(f"line_dedup: {', '.join(sorted(clash))} can't be kept, the result has columns of that name")
+    own = {f"keep_{i}": c for i, c in enumerate(keep)}
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(f"`{c}`").alias(n) for n, c in own.items())).select("*", *row_key("doc_id", "text"))
     occ = staged(keyed.select("k1", "k2", "text").mapInArrow(_explode(min_chars), "k1 long, k2 long, pos int, h1 long, h2 long, first tinyint"), "lines")
-    common = occ.groupBy("h1", "h2").agg(F.sum("first").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
-    gone = occ.join(common, ["h1", "h2"], "left_semi").groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone"))
-    joined = keyed.join(gone, ["k1", "k2"], "left").select("doc_id", *keep, "text", "gone")
-    own = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    return joined.mapInArrow(_reassemble, f"doc_id long, {own}kept_text string, n_lines long, n_dropped long")
+    common = occ.groupBy("h1", "h2").agg(F.sum("first").alias("n"), F.count("*").alias("lines")).where(F.col("n") >= min_docs).select("h1", "h2", "lines")
+    common = staged(common, "common")
+    gone = staged(join_hot(occ, common, ["h1", "h2"], "lines").groupBy("k1", "k2").agg(F.collect_set("pos").alias("gone")), "gone")
+    drop_staged(occ, common)
+    joined = keyed.join(gone, ["k1", "k2"], "left").select("doc_id", *own, "text", "gone")
+    kinds = "".join(f"{n} {docs.schema[c].dataType.simpleString()}, " for n, c in own.items())
+    out = joined.mapInArrow(_reassemble, f"doc_id long, {kinds}kept_text string, n_lines long, n_dropped long")
+    return out.select("doc_id", *(F.col(n).alias(c) for n, c in own.items()), "kept_text", "n_lines", "n_dropped")
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
