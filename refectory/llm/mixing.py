@@ -18,13 +18,15 @@ GOLDEN = 0.6180339887498949
 #: Frac(2^20 * golden ratio): slots are numbered in two parts, so that points stay exact to 2^-30 up to 2^40 slots.
 GOLDEN_HIGH = 0.607787409740351
 CELLS = 4096
+#: Documents of a source that are put in order in one task, about: each source has as many parts as it needs.
+PART_ROWS = 500
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
     """sizes (source, source_size), one row a source -> also target: water-filling of share times all sizes by weight, capped.
 
     Sources in code-point order, null last, take the weights in turn. A source's target stops at most times its size; what is over
-    goes to the others by weight. Equal caps are one level. All of it is over one row for each source.
+    goes to the others by weight. Equal caps are one level. All of it is over one row for each source, tens of them or thousands.
     """
     ranked = sizes.withColumn("nth", F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")) - 1)
     weight = reduce(lambda x, iw: x.when(F.pmod("nth", F.lit(len(weights))) == iw[0], F.lit(iw[1])), enumerate(weights[1:], 1), F.when(F.pmod("nth", F.lit(len(weights))) == 0, F.lit(weights[0])))
@@ -58,13 +60,6 @@ def _spread(df: DataFrame, by: str, part: Column, order: list, total: str | None
     return cut.withColumn("own", own).join(ahead, [by, "part"]).withColumn("before", F.col("own") + F.col("ahead")).drop("own", "ahead")
 
 
-def _hex_digits(n: int) -> int:
-    d = 1
-    while 16**d < n:
-        d += 1
-    return d
-
-
 def mix_schedule(sources: DataFrame, block: int) -> DataFrame:
     """sources (nth, source_size, quota) -> slot, nth, block, pass, block_end: what each slot of the mix takes.
 
@@ -105,12 +100,13 @@ def mix(docs: DataFrame, block: int = 1024, weights: tuple[int, ...] = (3, 1, 2)
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count("text").alias("size"))
     rows = staged(rows.withColumn("turn", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))), "sizes")
-    sources = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    sources = staged(sources.withColumn("quota", F.round("target").cast("long")), "targets")
+    sizes = staged(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents")), "sources")
+    sources = source_targets(sizes.drop("documents"), weights, share, most).withColumn("quota", F.round("target").cast("long"))
+    digits = F.greatest(F.lit(1), F.ceil(F.log(16.0, F.col("documents") / PART_ROWS))).cast("int").alias("digits")
+    sources = staged(sources.join(sizes.select(F.col("source").alias("name"), digits), F.col("source").eqNullSafe(F.col("name"))).drop("name"), "targets")
     # null-safe: the source's number stands for it from here on
-    numbered = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).select("doc_id", rows["source"], "size", "turn", "nth", "source_size", "target")
-    digits = _hex_digits(rows.count() // 20_000 + 1)
-    laid = _spread(numbered, "nth", F.substring("turn", 1, digits), ["turn", "size"], "size").withColumn("row", F.row_number().over(Window.partitionBy("nth", "part").orderBy("turn", "size")))
+    numbered = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).select("doc_id", rows["source"], "size", "turn", "nth", "source_size", "target", "digits")
+    laid = _spread(numbered, "nth", F.substr(F.col("turn"), F.lit(1), F.col("digits")), ["turn", "size"], "size").withColumn("row", F.row_number().over(Window.partitionBy("nth", "part").orderBy("turn", "size")))
     first, last = F.floor(F.col("before") / block), F.floor((F.col("before") + F.col("size") - 1) / block)
     parts = laid.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
     taken = mix_schedule(sources.select("nth", "source_size", "quota"), block).select("nth", "block", "block_end")
