@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, exact_dedup, jaccard, line_dedup, lm, mixing, packing, secret_scan, suffix_dedup, tokens, toxicity
+from . import embedding_dedup, exact_dedup, jaccard, line_dedup, lm, mixing, packing, resampling, secret_scan, suffix_dedup, tokens, toxicity, vector_codes
 
 _QUERIES = {
     "op1_toxicity": (toxicity.op1_toxicity, None),
@@ -15,6 +15,8 @@ _QUERIES = {
     "op8_embedding_dedup": (embedding_dedup.op8_embedding_dedup, None),
     "op10_lm_scoring": (lm.op10_lm_scoring, None),
     "op9_source_mixing": (mixing.op9_source_mixing, mixing.OP9_SQL),
+    "op11_vector_codes": (vector_codes.op11_vector_codes, vector_codes.OP11_SQL),
+    "op12_importance_resampling": (resampling.op12_importance_resampling, None),
     "op13_secret_scan": (secret_scan.op13_secret_scan, secret_scan.OP13_SQL),
 }
 
