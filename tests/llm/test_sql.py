@@ -15,7 +15,8 @@ from ..test_queries import parted
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_operator_equals_sql(spark, name):
     c = duckdb.connect()
-    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        c.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     df, want = registry.queries()[name](spark, DATA), c.sql(registry.oracle_sql()[name])
     cols = sorted(df.columns)
     assert cols == sorted(want.columns)
