@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..operators import windows as W
 from ..session import staged
+from .backtest import backtest_moving_average, cutoffs, resumed  # noqa: F401  M12, T7
+from .regression import seasonal_regression, weekday_autoregression  # noqa: F401  M15, M16
 
 
 def moving_average(history: DataFrame, keys: list[str], day: str, date: str, value: str, n: int = 8) -> DataFrame:
@@ -24,43 +26,6 @@ def moving_average(history: DataFrame, keys: list[str], day: str, date: str, val
     return cell.join(recent, [*keys, day], "left").crossJoin(F.broadcast(overall)).select(*keys, day, F.coalesce("recent", "cell", "overall").alias("prediction"))
 
 
-def cutoffs(history: DataFrame, date: str, first_after_days: int = 70, every: int = 7) -> DataFrame:
-    """Cut-off days from the first day plus ten weeks to the last, weekly."""
-    span = history.agg(F.date_add(F.min(F.to_date(date)), first_after_days).alias("a"), F.max(F.to_date(date)).alias("b")).where("a <= b")
-    return span.select(F.explode(F.sequence("a", "b", F.expr(f"interval {every} days"))).alias("cutoff"))
-
-
-def backtest_moving_average(history: DataFrame, site: str, date: str, value: str, cuts: DataFrame, horizon: tuple[int, int] = (1, 21), n: int = 8, least_rows: int = 50) -> DataFrame:
-    """M12 with M11: for every cut-off, forecasts of the days in the horizon from what was known by then.
-
-    Only the last n positive values of each weekday matter, so each row is matched with the cut-offs it can serve, found from the row
-    n places on, and how much is known by then is a running count, instead of the whole history with every cut-off. Sites with fewer rows than least_rows by then are left out.
-    """
-    h = history.select(site, F.to_date(date).alias("d"), F.col(value).alias("v")).withColumn("day", F.weekday("d"))
-    pos = h.where("v > 0")
-    w = Window.partitionBy(site, "day").orderBy("d", "v")
-    # a value serves cut-offs from its day until the day before the n-th later value
-    serving = pos.withColumn("until", F.date_sub(F.lead("d", n).over(w), 1))
-    fit = serving.join(cuts, (F.col("cutoff") >= F.col("d")) & (F.col("until").isNull() | (F.col("cutoff") <= F.col("until"))))
-    fit = fit.groupBy(site, "cutoff", "day").agg(F.avg("v").alias("prediction"))
-    seen = h.groupBy(site, "d").agg(F.count("*").alias("k")).withColumn("seen", F.sum("k").over(Window.partitionBy(site).orderBy("d").rowsBetween(Window.unboundedPreceding, 0)))
-    # the running count as of each cut-off: both in one line by day, the last count known carried on
-    line = seen.select(site, "d", "seen", F.lit(None).cast("date").alias("cutoff")).unionByName(seen.select(site).distinct().crossJoin(cuts).select(site, F.col("cutoff").alias("d"), F.lit(None).cast("long").alias("seen"), "cutoff"))
-    as_of = Window.partitionBy(site).orderBy("d", F.col("cutoff").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    enough = line.withColumn("seen", F.last("seen", True).over(as_of)).where(F.col("cutoff").isNotNull() & (F.col("seen") >= least_rows))
-    actual = h.join(cuts, (F.datediff("d", "cutoff") >= horizon[0]) & (F.datediff("d", "cutoff") <= horizon[1]))
-    out = actual.join(enough.select(site, "cutoff"), [site, "cutoff"], "left_semi").join(fit, [site, "cutoff", "day"])
-    return out.select(site, "cutoff", F.col("d").alias("target"), F.datediff("d", "cutoff").alias("horizon"), F.col("v").alias("actual"), "prediction")
-
-
-def resumed(cuts: DataFrame, store: DataFrame | None) -> DataFrame:
-    """The cut-offs after the last one that the store has; all where it has none."""
-    if store is None:
-        return cuts
-    done = store.agg(F.max("cutoff").alias("__done"))
-    return cuts.crossJoin(done).where(F.col("__done").isNull() | (F.col("cutoff") > F.col("__done"))).drop("__done")
-
-
 def fill_known(future: DataFrame, history: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Rows to be forecast whose day is already in the history get its summed value, which goes before their own."""
     known = history.groupBy(*keys).agg(F.sum(value).alias("__known"))
@@ -89,61 +54,6 @@ def gbt_forecast(train: DataFrame, future: DataFrame, numeric: list[str], catego
     return out.select(*future.columns, F.greatest(F.col("prediction"), F.lit(0.0)).alias("prediction"))
 
 
-def weekday_autoregression(history: DataFrame, site: str, date: str, value: str, lags: int = 3, steps: int = 3, ridge: float = 1e-3) -> DataFrame:
-    """By site and weekday an autoregression on the last `lags` values of that weekday, `steps` values on; floor 0.
-
-    Cells with too few rows take the site's mean, as part of the cell's own group. One small solve a cell.
-    """
-    h = history.select(site, F.to_date(date).alias("d"), F.weekday(F.to_date(date)).alias("day"), F.col(value).cast("double").alias("v"), F.avg(value).over(Window.partitionBy(site)).alias("site_mean"))
-
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["d", "v"])
-        v = pdf["v"].to_numpy()
-        mean = float(pdf["site_mean"].iloc[0])
-        out = []
-        if len(v) < 2 * lags + 2:
-            out = [float(np.mean(v)) if len(v) >= 2 else mean] * steps
-        else:
-            x = np.stack([np.ones(len(v) - lags), *(v[lags - k - 1 : len(v) - k - 1] for k in range(lags))], 1)
-            w = np.linalg.solve(x.T @ x + ridge * len(x) * np.eye(lags + 1), x.T @ v[lags:])
-            last = list(v[-lags:])
-            for _ in range(steps):
-                out.append(float(np.clip(w[0] + sum(w[k + 1] * last[-k - 1] for k in range(lags)), 0, 3 * v.max())))
-                last.append(out[-1])
-        return pd.DataFrame({site: key[0], "day": key[1], "step": range(1, steps + 1), "prediction": np.maximum(out, 0.0)})
-
-    kind = history.schema[site].dataType.simpleString()
-    return h.groupBy(site, "day").applyInPandas(fit, f"`{site}` {kind}, day int, step int, prediction double")
-
-
-def seasonal_regression(history: DataFrame, future: DataFrame, site: str, date: str, value: str, regressors: list[str], least_rows: int = 10, ridge: float = 1.0) -> DataFrame:
-    """By site a ridge regression on weekday flags, a yearly Fourier pair and regressors; with few rows the site's mean; floor 0."""
-    cols = [site, date, value, *regressors]
-    both = history.select(*cols, F.lit(True).alias("known")).unionByName(future.select(site, date, F.lit(None).cast("double").alias(value), *regressors, F.lit(False).alias("known")))
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        d = pd.to_datetime(pdf[date])
-        angle = 2 * np.pi * d.dt.dayofyear.to_numpy() / 365.25
-        flags = (d.dt.dayofweek.to_numpy()[:, None] == np.arange(7)[None, :]).astype(float)
-        x = np.column_stack([np.ones(len(pdf)), flags, np.sin(angle), np.cos(angle), pdf[regressors].fillna(0.0).to_numpy(float)]) if regressors else np.column_stack([np.ones(len(pdf)), flags, np.sin(angle), np.cos(angle)])
-        known = pdf["known"].to_numpy(bool)
-        y = pdf[value].to_numpy(float)
-        out = pdf.loc[~known, [site, date]].copy()
-        if known.sum() < least_rows:
-            out["prediction"] = max(float(np.mean(y[known])) if known.any() else 0.0, 0.0)
-        else:
-            scale = np.maximum(np.abs(x[known]).max(0), 1e-9)
-            a = x[known] / scale
-            penalty = ridge * np.eye(a.shape[1])
-            penalty[0, 0] = 1e-6
-            w = np.linalg.solve(a.T @ a + penalty, a.T @ y[known])
-            out["prediction"] = np.maximum((x[~known] / scale) @ w, 0.0)
-        return out
-
-    kind = lambda c: history.schema[c].dataType.simpleString()
-    return both.groupBy(site).applyInPandas(fit, f"`{site}` {kind(site)}, `{date}` {kind(date)}, prediction double")
-
-
 def long_form(wide: DataFrame, keys: list[str], models: list[str]) -> DataFrame:
     """A row a model."""
     return wide.unpivot(keys, models, "model", "prediction").where("prediction is not null")

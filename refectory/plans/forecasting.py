@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..forecast import backtest as B
 from ..forecast import features as X
 from ..forecast import models as M
 from ..functions import calendar as C
@@ -116,6 +119,78 @@ def backtest_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.backtest_moving_average(a, "site", "d", "v", M.cutoffs(a, "d", 70, 28))
 
 
+_CUTS = f"SELECT unnest(generate_series((SELECT min(d) FROM {_ATT}) + 70, (SELECT max(d) FROM {_ATT}), INTERVAL 28 DAY))::DATE AS cutoff"
+_AR = f"(SELECT *, {_WD} AS day, lag(v, 1) OVER w AS lag_1, lag(v, 2) OVER w AS lag_2, lag(v, 3) OVER w AS lag_3 FROM {_ATT} WINDOW w AS (PARTITION BY site, {_WD} ORDER BY d))"
+
+
+def _sql_sums(x: list[str], y: str) -> str:
+    """The sums, to three places: they depend on the order of addition in the last digits."""
+    pairs = [f"round(coalesce(sum(CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE)), 0), 3) AS xx_{i}_{j}" for i, a in enumerate(x) for j, b in enumerate(x) if i <= j]
+    return ", ".join([*pairs, *(f"round(coalesce(sum(CAST({a} AS DOUBLE) * CAST({y} AS DOUBLE)), 0), 3) AS xy_{i}" for i, a in enumerate(x))])
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 3) for c in df.columns if c.startswith(("xx_", "xy_"))})
+
+
+_AR_FIT = [f"CASE WHEN lag_3 IS NOT NULL THEN {c} END" for c in ("1", "lag_1", "lag_2", "lag_3")]
+
+
+@query(f"""WITH k AS ({_CUTS}) SELECT site, day, cutoff, count(*) AS n, sum(v) AS total, max(v) AS top, {_sql_sums(_AR_FIT, "v")} FROM {_AR} JOIN k ON d <= cutoff GROUP BY site, day, cutoff""")
+def weekday_ar_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of the autoregression's normal equations as of every fourth week's cut-off."""
+    a = attendance(spark, sf_dir)
+    return _rounded(B.weekday_ar_fits(a, "site", "d", "v", B.cutoffs(a, "d", 70, 28)).drop("last"))
+
+
+REGRESSORS = ["mobile_mean_42_shifted_21", "month", "is_holiday"]
+_SEASON = ["1", *(f"CASE WHEN {_WD} = {i} THEN 1 ELSE 0 END" for i in range(7)), "sin(2 * pi() * dayofyear(d) / 365.25)", "cos(2 * pi() * dayofyear(d) / 365.25)", "coalesce(s21, 0)", "month(d)", "is_holiday"]
+
+
+def regressors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attendance with what is known of a day three weeks before: a mean of then, the month, and whether there are holidays."""
+    a = W.full_window_mean(attendance(spark, sf_dir), ["site"], ["d"], "v", 42, "m")
+    a = W.shifted(a, ["site"], ["d"], "m", 21, "mobile_mean_42_shifted_21").withColumn("month", F.month("d")).withColumn("zone", F.col("site") % 2)
+    off = C.holiday_distance(a.select("d", "zone"), "d", "zone", zones(spark), "date_debut", "date_fin").select("d", "zone", "is_holiday")
+    return a.join(off, ["d", "zone"]).select("site", "d", "v", *REGRESSORS)
+
+
+_REG = f"""(WITH r AS (SELECT *, CASE WHEN count(v) OVER w = 42 THEN avg(v) OVER w END AS m FROM {_ATT} WINDOW w AS (PARTITION BY site ORDER BY d ROWS 41 PRECEDING))
+SELECT site, d, v, lag(m, 21) OVER (PARTITION BY site ORDER BY d) AS s21, CASE WHEN EXISTS (SELECT 1 FROM {_ZONES} WHERE p.zone = site % 2 AND d BETWEEN a AND b) THEN 1 ELSE 0 END AS is_holiday FROM r)"""
+
+
+@query(f"""WITH k AS ({_CUTS}) SELECT site, cutoff, count(*) AS n, sum(v) AS total, {", ".join(f"max(abs(CAST({x} AS DOUBLE))) AS top_{i}" for i, x in enumerate(_SEASON))}, {_sql_sums(_SEASON, "v")} FROM {_REG} JOIN k ON d <= cutoff GROUP BY site, cutoff""")
+def seasonal_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of the seasonal regression's normal equations as of every fourth week's cut-off."""
+    a = regressors(spark, sf_dir)
+    return _rounded(B.seasonal_fits(a, "site", "d", "v", B.cutoffs(a, "d", 70, 28), REGRESSORS))
+
+
+def backtests(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every week's cut-off and forecasts of three weeks, by model."""
+    a = staged(regressors(spark, sf_dir), "regressors")
+    cuts = staged(B.cutoffs(a, "d"), "cutoffs")
+    own = ("site", "d", "v", cuts)
+    return {"moving_average": B.backtest_moving_average(a, *own), "weekday_ar": B.backtest_weekday_ar(a, *own), "seasonal": B.backtest_seasonal(a, *own, REGRESSORS)}
+
+
+@query()
+def backtest_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 for M11, M15 and M16: weekly cut-offs, three weeks ahead, forecasts a row."""
+    return reduce(DataFrame.unionByName, [df.withColumn("model", F.lit(m)) for m, df in backtests(spark, sf_dir).items()])
+
+
+@query(f"""WITH k AS (SELECT unnest(generate_series((SELECT min(d) FROM {_ATT}) + 70, (SELECT max(d) FROM {_ATT}), INTERVAL 7 DAY))::DATE AS cutoff), e AS (SELECT site, cutoff FROM {_ATT} JOIN k ON d <= cutoff GROUP BY ALL HAVING count(*) >= 50),
+m AS (SELECT * FROM (VALUES ('moving_average', 0), ('weekday_ar', 1), ('seasonal', 2)) AS m(model, i)), t AS (SELECT site, d, v, d - cutoff AS h, cutoff FROM {_ATT} JOIN k ON d - cutoff BETWEEN 1 AND 21 JOIN e USING (site, cutoff)),
+c AS (SELECT site AS own, {_WD} AS day, min(d) AS first, min(d) FILTER (v > 0) AS positive FROM {_ATT} GROUP BY ALL)
+SELECT model, CAST(ceil(h / 7.0) AS INTEGER) AS week, count(*) AS n, count(DISTINCT (site, cutoff)) AS fits, avg(v) AS actual FROM t JOIN c ON site = own AND {_WD} = day CROSS JOIN m
+WHERE CASE i WHEN 0 THEN positive <= cutoff WHEN 1 THEN first <= cutoff ELSE true END GROUP BY ALL""")
+def backtest_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many days each model forecasts by week ahead, from how many fits, and what came; SQL can tell that without the fits."""
+    every = reduce(DataFrame.unionByName, [df.withColumn("model", F.lit(m)) for m, df in backtests(spark, sf_dir).items()])
+    return every.where("prediction is not null").groupBy("model", F.ceil(F.col("horizon") / 7).cast("int").alias("week")).agg(F.count("*").alias("n"), F.countDistinct("site", "cutoff").alias("fits"), F.avg("actual").alias("actual"))
+
+
 def stored_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four made-up models' forecasts of each line's quantity, by site and horizon; some are missing."""
     li = table(spark, sf_dir, "lineitem")
