@@ -118,9 +118,14 @@ class SnapshotTable:
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def version(self) -> str | None:
-        if not (numbers := self._pointers()):
-            return None
-        return json.loads(self.spark.read.text(self._pointer(numbers[-1])).first()[0])["version"]
+        return self._current().get("version")
+
+    def _current(self) -> dict:
+        return self._named(numbers[-1]) if (numbers := self._pointers()) else {}
+
+    def _named(self, n: int) -> dict:
+        """What a pointer says."""
+        return json.loads(self.spark.read.text(self._pointer(n)).first()[0])
 
     def _pointer(self, n: int) -> str:
         return f"{self.path}/pointer-{n:012d}"
@@ -140,10 +145,13 @@ class SnapshotTable:
         """K1, K8: df as the new current version."""
         v = f"v-{uuid.uuid4().hex}"
         df.write.partitionBy(*partition_by).parquet(f"{self.path}/{v}") if partition_by else df.write.parquet(f"{self.path}/{v}")
-        n = (self._pointers() or [0])[-1] + 1
+        return self._point_to({"version": v})
+
+    def _point_to(self, content: dict) -> str:
+        v, n = content["version"], (self._pointers() or [0])[-1] + 1
         new = self._path(f"{self.path}/.pointer-{v}")
         out = self._fs.create(new)
-        out.write(bytearray(json.dumps({"version": v}).encode()))
+        out.write(bytearray(json.dumps(content).encode()))
         out.close()
         at = self._path(self._pointer(n))
         if self._fs.exists(at) or not self._fs.rename(new, at):
@@ -153,7 +161,7 @@ class SnapshotTable:
     def prune(self, keep: int = 2) -> None:
         """Versions before the last `keep` go, their pointers first."""
         numbers = self._pointers()
-        old = [(n, json.loads(self.spark.read.text(self._pointer(n)).first()[0])["version"]) for n in numbers[: max(len(numbers) - keep, 0)]]
+        old = [(n, self._named(n)["version"]) for n in numbers[: max(len(numbers) - keep, 0)]]
         for n, v in old:
             self._fs.delete(self._path(self._pointer(n)), False)
             self._fs.delete(self._path(f"{self.path}/{v}"), True)

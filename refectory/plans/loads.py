@@ -11,6 +11,7 @@ from ..functions import calendar as C
 from ..functions import scalars as S
 from ..operators import joins as J
 from ..operators import tables as K
+from ..operators.parts import KeyedTable
 from ..session import work_path
 from ..sources import files
 from ..streaming import sync as T
@@ -120,18 +121,22 @@ def delete_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.delete_keys(o, gone.unionByName(gone).unionByName(gone.select((-F.col("o_orderkey") - 1).alias("o_orderkey"))), ["o_orderkey"]).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("amount"))
 
 
-@query("""WITH e AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max(ts) AS ts FROM events GROUP BY ALL) SELECT user_id, event_type, ts FROM e WHERE user_id % 5 <> 0""")
+@query("""WITH e AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max(ts) AS ts, count(*) AS n FROM events GROUP BY ALL)
+SELECT user_id, event_type, ts FROM e WHERE user_id % 5 <> 0 OR (user_id % 15 = 0 AND n > 1)""")
 def stream_soft_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change batches from a stream, merged; a batch's deleted rows leave the table."""
+    """Change batches from a stream, live and deleted rows mixed in the same files, in no order of time.
+
+    Of every fifth user all is deleted at the last event, but of every fifteenth at the first one, so that later events count.
+    """
     at = work_path(spark, "changes")
     events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", F.lit(None).cast("timestamp").alias("deleted_at"))
-    gone = events.where("user_id % 5 = 0").groupBy("user_id").agg(F.max("event_type").alias("event_type"), F.max("ts").alias("ts"), F.max("event_id").alias("event_id")).withColumn("deleted_at", F.col("ts"))
-    events.repartition(3).write.parquet(f"{at}/landed")
-    held = K.SnapshotTable(spark, f"{at}/table")
-    apply = T.upsert_batches(held, ["user_id"], [F.desc("ts"), F.desc("event_id")], "deleted_at", newest=True)
-    T.sync(T.landed(spark, f"{at}/landed", 1), apply, f"{at}/stream")
-    gone.write.mode("append").parquet(f"{at}/landed")
-    T.sync(T.landed(spark, f"{at}/landed", 100), apply, f"{at}/stream")  # goes on where the first call ended
+    early = F.col("user_id") % 15 == 0
+    own = events.where("user_id % 5 = 0").groupBy("user_id").agg(*(f(c).alias(f"{c}_{n}") for n, f in (("a", F.min), ("b", F.max)) for c in ("ts", "event_id")))
+    gone = own.select("user_id", F.lit("gone").alias("event_type"), F.when(early, F.col("ts_a")).otherwise(F.col("ts_b")).alias("ts"), F.when(early, F.col("event_id_a")).otherwise(F.col("event_id_b")).alias("event_id")).withColumn("deleted_at", F.col("ts"))
+    both = events.unionByName(gone.select(*events.columns))
+    both.repartition(6, F.xxhash64("ts", "event_type")).write.parquet(f"{at}/landed")
+    held = KeyedTable(spark, f"{at}/table", ["user_id"], [F.desc("ts"), F.desc("event_id")], "deleted_at", 16)
+    T.sync(T.landed(spark, f"{at}/landed", 2), T.upsert_batches(held, newest=True), f"{at}/stream")
     return held.read().select("user_id", "event_type", "ts")
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as C
+from ..functions.scalars import school_year
 from ..operators import joins as J
-from ..operators.tables import SnapshotTable
+from ..operators.parts import KeyedTable
 from ..session import work_path
 from ..streaming import sync as T
 from .base import query, table
@@ -21,14 +22,59 @@ def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max(ts) AS ts FROM events GROUP BY ALL")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's latest event, merged batch by batch into a table of snapshots."""
+    """Each user's latest event, merged batch by batch into a table in parts by user."""
     at = work_path(spark, "latest")
-    held = SnapshotTable(spark, f"{at}/table")
+    held = KeyedTable(spark, f"{at}/table", ["user_id"], [F.desc("ts"), F.desc("event_id")], buckets=16)
     stream = T.landed(spark, f"{sf_dir}/events.parquet").select("user_id", "event_type", "ts", "event_id")
-    T.sync(stream, T.upsert_batches(held, ["user_id"], [F.desc("ts"), F.desc("event_id")], newest=True), f"{at}/stream")
+    T.sync(stream, T.upsert_batches(held, newest=True), f"{at}/stream")
     return held.read().select("user_id", "event_type", "ts")
 
 
+def _timed(df: DataFrame) -> DataFrame:
+    """Watermarks are for times with a zone."""
+    return df.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def landed_in_turn(spark: SparkSession, sf_dir: str, at: str, parts: int, again: int = 0) -> None:
+    """The events as files that land one after the other, by time; again: days before each part that land once more with it."""
+    e = table(spark, sf_dir, "events")
+    span = e.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    at_ = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    nth = F.least(F.floor((at_("ts") - at_("a")) * parts / (at_("b") - at_("a"))), F.lit(parts - 1)).cast("int")
+    own = e.crossJoin(F.broadcast(span)).withColumn("part", nth)
+    first = own.groupBy("part").agg(F.min("ts").alias("start"))
+    for i in range(parts):
+        from_ = first.where(F.col("part") == i).select((F.col("start") - F.make_interval(days=F.lit(again))).alias("start"))
+        own.where(F.col("part") <= i).crossJoin(F.broadcast(from_)).where("ts >= start").select(*e.columns).coalesce(1).write.mode("append").parquet(at)
+
+
+@query("WITH m AS (SELECT max(ts) AS last FROM events) SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events, m WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= last - INTERVAL 1 DAY GROUP BY ALL")
+def stream_complete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: tumbling windows with a watermark of a day in append mode: each day's counts come out once, when it is complete."""
+    at = work_path(spark, "days")
+    landed_in_turn(spark, sf_dir, f"{at}/landed", 3)
+    return T.appended(T.daily_counts(_timed(T.landed(spark, f"{at}/landed", 1)), "ts", "event_type"), at)
+
+
+@query("SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS events, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY ALL")
+def stream_rereads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: each of four loads reads the last 7 days before it once more; rows seen within the look-back are dropped in the stream."""
+    at = work_path(spark, "rereads")
+    landed_in_turn(spark, sf_dir, f"{at}/landed", 4, again=7)
+    rows = T.appended(T.without_repeats(_timed(T.landed(spark, f"{at}/landed", 1)), "ts", ["event_id"], "7 days"), at).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+@query("SELECT event_type, CASE WHEN month(ts) >= 8 THEN year(ts) || '-' || (year(ts) + 1) ELSE (year(ts) - 1) || '-' || year(ts) END AS school_year, max(ts) AS ts FROM events GROUP BY ALL")
+def stream_latest_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest event of each kind and school year, kept up to date by a stream."""
+    at = work_path(spark, "times")
+    held = KeyedTable(spark, f"{at}/table", ["event_type", "school_year"], [F.desc("ts")], buckets=8)
+    stream = T.landed(spark, f"{sf_dir}/events.parquet").withColumn("school_year", school_year(F.col("ts"), 8))
+    T.sync(stream, T.latest_batches(held, ["event_type", "school_year"], "ts"), f"{at}/stream")
+    return held.read()
+
+
 @query("""WITH q AS (SELECT c_custkey AS query_id, c_nationkey AS org, upper(substr(c_name, 10)) AS f, upper(c_mktsegment) AS l, CASE WHEN c_custkey % 2 = 0 THEN c_custkey % 5 END AS b FROM customer WHERE c_custkey % 20 = 0),
 p AS (SELECT c_custkey AS person_id, c_nationkey AS org, upper(substr(c_name, 10)) AS f, upper(c_mktsegment) AS l, c_custkey % 5 AS b FROM customer),
 s AS (SELECT query_id, person_id, q.b AS qb, coalesce(q.b = p.b, false) AS date_valid, 0.4::DOUBLE * jaro_winkler_similarity(q.f, p.f) + 0.6::DOUBLE * jaro_winkler_similarity(q.l, p.l) AS score FROM q JOIN p USING (org)),

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tables import SnapshotTable, delete_keys
+from ..operators.parts import KeyedTable
+from ..operators.tables import SnapshotTable
 
 
 def one_path(path: str) -> str:
@@ -26,20 +27,11 @@ def sync(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint:
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert_batches(table: SnapshotTable, keys: list[str], order: list[Column], deleted: str | None = None, newest: bool = False) -> Callable[[DataFrame, int], None]:
-    """Each batch's soft-deleted rows leave the table, the others are merged. Repeating a batch changes nothing.
-
-    newest: rows that come late don't replace newer ones of the table (see SnapshotTable.upsert). The last two versions are kept.
-    """
+def upsert_batches(table: KeyedTable, newest: bool = False) -> Callable[[DataFrame, int], None]:
+    """Each batch's live and soft-deleted rows are merged at once (see KeyedTable.merge). The last two versions are kept."""
 
     def apply(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = batch if deleted is None else batch.where(F.col(deleted).isNull())
-        if deleted is not None and table.version() is not None:
-            gone = batch.where(F.col(deleted).isNotNull())
-            table.write(delete_keys(table.read(), gone, keys))
-        table.upsert(rows, keys, order, newest)
+        table.merge(batch, newest)
         table.prune()
 
     return apply
@@ -61,14 +53,14 @@ def counted_by_day(stream: DataFrame, ts: str, kind: str, at: str) -> DataFrame:
 def reload_chunks(table: SnapshotTable, chunks: list[str], read: Callable[[str], DataFrame], stage: str) -> DataFrame:
     """A full reload chunk by chunk that goes on after errors; returns a row on each chunk (chunk, rows, status, error).
 
-    Each chunk is written on its own first; those that could be read make the new version. If none could, the table stays as it is.
+    Each chunk is written on its own first, its rows counted as they pass; those that could be read make the new version. If none could, the table stays as it is.
     """
     spark, rows, good = table.spark, [], []
     for i, name in enumerate(chunks):
         try:
-            at = f"{stage}/chunk-{i}"
-            read(name).write.mode("overwrite").parquet(at)
-            rows.append((name, spark.read.parquet(at).count(), "complete", None))
+            at, seen = f"{stage}/chunk-{i}", Observation()
+            read(name).observe(seen, F.count("*").alias("rows")).write.mode("overwrite").parquet(at)
+            rows.append((name, seen.get["rows"], "complete", None))
             good.append(at)
         except Exception as e:  # noqa: BLE001  whatever a source fails with goes into the audit
             rows.append((name, 0, "failed", str(e).splitlines()[0][:300]))
@@ -85,6 +77,25 @@ def daily_counts(stream: DataFrame, ts: str, kind: str, late: str = "1 day") ->
     return stream.withWatermark(ts, late).groupBy(F.window(ts, "1 day"), kind).agg(F.count("*").alias("n")).select(F.to_date("window.start").alias("day"), kind, "n")
 
 
+def appended(stream: DataFrame, at: str) -> DataFrame:
+    """What a stream in append mode puts out over all files landed so far; called again it goes on where it ended."""
+    stream.writeStream.format("parquet").outputMode("append").option("path", f"{at}/out").option("checkpointLocation", f"{at}/stream").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{at}/out")
+
+
 def without_repeats(stream: DataFrame, ts: str, keys: list[str], late: str = "45 days") -> DataFrame:
-    """T4: rows read again within the look-back are dropped."""
+    """T4: rows read again within the look-back are dropped. A key's state goes once the watermark has passed its first row by `late`."""
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+
+
+def latest_batches(table: KeyedTable, group: list[str], ts: str) -> Callable[[DataFrame, int], None]:
+    """Each group's latest time, kept up to date: a batch's maxima are merged, so late rows and repeated batches change nothing.
+
+    table: keyed by group, ordered by the descending time.
+    """
+
+    def apply(batch: DataFrame, _: int) -> None:
+        table.merge(batch.groupBy(*group).agg(F.max(ts).alias(ts)))
+        table.prune()
+
+    return apply
