@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..session import staged
+
 
 def null_safe(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     """Equality of keys in which null equals null."""
@@ -144,36 +146,94 @@ def _jaro(a: str, b: str) -> float:
     return (m / la + m / lb + (m - moved) / m) / 3
 
 
+@lru_cache(100_000)
+def _similarity(a: str, b: str) -> float:
+    s, n = _jaro(a, b), 0
+    if s > 0.7:
+        while n < min(4, len(a), len(b)) and a[n] == b[n]:
+            n += 1
+    return s + n * 0.1 * (1 - s)
+
+
 @F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity with prefix weight 0.1 and at most 4 characters, from a Jaro similarity of 0.7; null with null."""
-    out = []
-    for x, y in zip(a, b, strict=True):
-        if x is None or y is None:
-            out.append(None)
-            continue
-        s = _jaro(x, y)
-        if s > 0.7:
-            n = 0
-            while n < min(4, len(x), len(y)) and x[n] == y[n]:
-                n += 1
-            s += n * 0.1 * (1 - s)
-        out.append(s)
-    return pd.Series(out, dtype="float64")
+    return pd.Series([None if x is None or y is None else _similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+
+def letter_bits(name: Column) -> Column:
+    """How often a name has each letter and digit, up to three times: a bit for each, in two numbers; and how many letters are left."""
+    letters = F.filter(F.split(F.upper(name), ""), lambda c: c != "")
+    nth = F.transform(letters, lambda c, i: F.size(F.filter(F.slice(letters, 1, i + 1), lambda x: x == c)))
+    bit = F.zip_with(letters, nth, lambda c, n: F.when((n <= 3) & F.contains(F.lit(_SYMBOLS), c), 3 * (F.call_function("locate", c, F.lit(_SYMBOLS)) - 1) + n - 1))
+    word = lambda low: F.aggregate(F.filter(bit, lambda x: x.between(low, low + 63)), F.lit(0).cast("long"), lambda w, x: w.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x - low)))
+    return F.struct(word(0).alias("lo"), word(64).alias("hi"), F.size(F.filter(bit, F.isnull)).alias("rest"))
+
+
+def similarity_bound(a: str, b: str) -> Column:
+    """No Jaro-Winkler similarity of columns a and b is above: no more letters match than are common, all of them in order at best.
+
+    Columns {a}_letters and {b}_letters hold letter_bits() of them.
+    """
+    x, y, own, other = F.col(a), F.col(b), F.col(f"{a}_letters"), F.col(f"{b}_letters")
+    common = F.bit_count(own["lo"].bitwiseAND(other["lo"])) + F.bit_count(own["hi"].bitwiseAND(other["hi"])) + F.least(own["rest"], other["rest"])
+    jaro = (common / F.length(x) + common / F.length(y) + 1) / 3
+    prefix = reduce(lambda m, n: m + n, [((F.least(F.length(x), F.length(y)) >= i) & (F.substring(x, 1, i) == F.substring(y, 1, i))).cast("int") for i in range(1, 5)])
+    return F.when(x == y, 1.0).when(common == 0, 0.0).when(jaro > 0.7, jaro + 0.1 * prefix * (1 - jaro)).otherwise(jaro)
+
+
+def bounded_pairs(queries: DataFrame, people: DataFrame, block: str, first: str, last: str, birth: str) -> DataFrame:
+    """Pairs of a query and a person of its block, with what their score can be at most; nothing of it leaves the JVM."""
+    from ..functions.scalars import normal_name
+
+    def named(df: DataFrame, key: str, f: str, n: str, b: str) -> DataFrame:
+        out = df.select(key, block, normal_name(F.col(first)).alias(f), normal_name(F.col(last)).alias(n), F.col(birth).alias(b))
+        return out.withColumns({f"{f}_letters": letter_bits(F.col(f)), f"{n}_letters": letter_bits(F.col(n))})
+
+    # a few rows become very many pairs: as many tasks as there are cores, however small the tables
+    asked = named(queries, "query_id", "__f", "__l", "__b").repartition(queries.sparkSession.sparkContext.defaultParallelism, "query_id")
+    pairs = asked.join(named(people, "person_id", "__pf", "__pl", "__pb"), block)
+    bound = 0.4 * similarity_bound("__f", "__pf") + 0.6 * similarity_bound("__l", "__pl")
+    return pairs.select("query_id", "person_id", "__f", "__l", "__pf", "__pl", "__b", F.coalesce(F.col("__b") == F.col("__pb"), F.lit(False)).alias("date_valid"), bound.alias("bound"))
+
+
+def promising_pairs(pairs: DataFrame, per_class: int, without_date: int) -> tuple[DataFrame, DataFrame]:
+    """Of bounded_pairs() those whose bound reaches the k-th best score found by then; and how many were scored for that.
+
+    The k best by bound of each query and class are scored first. Their least score is one that k pairs reach, so that pairs below it
+    can't be among the k best; where a class has fewer, all stay.
+    """
+    most = F.when(F.col("__b").isNull(), without_date).otherwise(per_class)
+    best = Window.partitionBy("query_id", "date_valid").orderBy(F.desc_nulls_last("bound"), "person_id")
+    first = pairs.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= max(per_class, without_date)).where(F.col("nth") <= most)
+    least = scored(first).groupBy("query_id", "date_valid").agg(F.count("score").alias("n"), F.min("score").alias("least"), F.first(most).alias("most"))
+    least = staged(least.select("query_id", "date_valid", "n", F.when(F.col("n") >= F.col("most"), F.col("least")).alias("least")), "least")
+    # bounds and scores are rounded apart in the last digits
+    return pairs.join(least, ["query_id", "date_valid"]).where(F.col("least").isNull() | (F.col("bound") >= F.col("least") - 2e-9)), least
+
+
+def scored(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumn("score", F.round(0.4 * jaro_winkler("__f", "__pf") + 0.6 * jaro_winkler("__l", "__pl"), 9))
 
 
 def fuzzy_candidates(queries: DataFrame, people: DataFrame, block: str, first: str, last: str, birth: str, per_class: int = 5, without_date: int = 10) -> DataFrame:
     """For each query (query_id, block, first, last, birth) the likeliest people (person_id, ...) of its block.
 
     Score: 0.4 first name + 0.6 last name, names compared without case and accents. Five with the birth date and five without, or ten where the
-    query has none. The blocking key is an equi-join.
+    query has none. The blocking key is an equi-join; only pairs that can be among the best are scored.
     """
-    from ..functions.scalars import normal_name
-
-    q = queries.select("query_id", block, normal_name(F.col(first)).alias("__f"), normal_name(F.col(last)).alias("__l"), F.col(birth).alias("__b"))
-    p = people.select("person_id", block, normal_name(F.col(first)).alias("__pf"), normal_name(F.col(last)).alias("__pl"), F.col(birth).alias("__pb"))
-    scored = q.join(p, block).withColumn("score", F.round(0.4 * jaro_winkler("__f", "__pf") + 0.6 * jaro_winkler("__l", "__pl"), 9))
-    scored = scored.withColumn("date_valid", F.coalesce(F.col("__b") == F.col("__pb"), F.lit(False)))
+    pairs, _ = promising_pairs(bounded_pairs(queries, people, block, first, last, birth), per_class, without_date)
     w = Window.partitionBy("query_id", "date_valid").orderBy(F.desc_nulls_last("score"), "person_id")
     most = F.when(F.col("__b").isNull(), without_date).otherwise(per_class)
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most).select("query_id", "person_id", "date_valid", "score", "rank")
+    return scored(pairs).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most).select("query_id", "person_id", "date_valid", "score", "rank")
+
+
+def fuzzy_pruning(queries: DataFrame, people: DataFrame, block: str, first: str, last: str, birth: str, per_class: int = 5, without_date: int = 10) -> DataFrame:
+    """J17, one row: pairs of the blocks, and how many of them are scored by fuzzy_candidates(), first ones counted twice."""
+    every = bounded_pairs(queries, people, block, first, last, birth)
+    pairs, tried = promising_pairs(every, per_class, without_date)
+    n = lambda df, name, c="1": df.agg(F.coalesce(F.sum(F.expr(c)), F.lit(0)).alias(name))
+    return n(every, "pairs").crossJoin(n(pairs, "later")).crossJoin(n(tried, "first", "n")).select("pairs", (F.col("later") + F.col("first")).alias("scored"))

@@ -82,10 +82,23 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id, date_valid ORDER BY ro
 SELECT query_id, person_id, date_valid, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= CASE WHEN qb IS NULL THEN 10 ELSE 5 END""")
 def fuzzy_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The likeliest people of an organisation for each query, by names and birth date."""
+    return J.fuzzy_candidates(*_people(spark, sf_dir), "org", "first", "last", "birth")
+
+
+def _people(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = table(spark, sf_dir, "customer")
     p = c.select(F.col("c_custkey").alias("person_id"), F.col("c_nationkey").alias("org"), F.substring("c_name", 10, 100).alias("first"), F.col("c_mktsegment").alias("last"), (F.col("c_custkey") % 5).alias("birth"))
-    q = p.where("person_id % 20 = 0").withColumnRenamed("person_id", "query_id").withColumn("birth", F.when(F.col("query_id") % 2 == 0, F.col("birth")))
-    return J.fuzzy_candidates(q, p, "org", "first", "last", "birth")
+    return p.where("person_id % 20 = 0").withColumnRenamed("person_id", "query_id").withColumn("birth", F.when(F.col("query_id") % 2 == 0, F.col("birth"))), p
+
+
+@query("SELECT count(*) AS pairs, true AS pruned FROM customer q JOIN customer p USING (c_nationkey) WHERE q.c_custkey % 20 = 0")
+def fuzzy_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a query and a person of one organisation, and whether fuzzy_candidates scores less than a fifth of them.
+
+    With organisations of a few dozen people the five or ten best that every query keeps are more than that already.
+    """
+    n = J.fuzzy_pruning(*_people(spark, sf_dir), "org", "first", "last", "birth")
+    return n.select("pairs", ((F.col("pairs") < 100_000) | (F.col("scored") * 5 < F.col("pairs"))).alias("pruned"))
 
 
 @query("""WITH e AS (SELECT n_regionkey AS z, n_nationkey AS n, DATE '1996-02-01' + 31 * CAST(n_nationkey AS INTEGER) AS a, CAST(n_nationkey % 4 AS INTEGER) AS len FROM nation WHERE n_nationkey % 5 <> 4)
