@@ -9,13 +9,14 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import windows as W
 from ..session import staged
 from .backtest import backtest_moving_average, cutoffs, resumed  # noqa: F401  M12, T7
 from .regression import seasonal_regression, weekday_autoregression  # noqa: F401  M15, M16
+from .weights import least_error
 
 
 def moving_average(history: DataFrame, keys: list[str], day: str, date: str, value: str, n: int = 8) -> DataFrame:
@@ -59,47 +60,9 @@ def long_form(wide: DataFrame, keys: list[str], models: list[str]) -> DataFrame:
     return wide.unpivot(keys, models, "model", "prediction").where("prediction is not null")
 
 
-def fit_weights_by_sums(df: DataFrame, scope: list[str], y: str, models: list[str], least_rows: int = 20, finest: float = 0.005) -> DataFrame:
-    """M18 for scopes of any number of rows: weights that minimise the mean absolute error, found by moves on the simplex whose errors Spark sums up.
-
-    Each job tries, for every scope at once, moving a part of the weight from one model to another or of all to one; the best move is
-    taken, and where none helps the part is halved, down to `finest`. Between jobs the driver holds a row for each scope, so scopes
-    should be few (size groups, weekdays, all). Scopes of fewer complete rows than least_rows have equal weights.
-    """
-    spark, k = df.sparkSession, len(models)
-    rows = staged(df.select(*scope, F.col(y).cast("double").alias("__y"), *(F.col(m).cast("double").alias(m) for m in models)), "weights")
-    known = rows.dropna(subset=["__y", *models])
-    every = [tuple(r) for r in rows.select(*scope).distinct().collect()] if scope else [()]
-    fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in scope]
-
-    def errors(tried: dict[tuple, list[np.ndarray]]) -> dict[tuple, tuple[int, list[float]]]:
-        """By scope its number of rows and the error of each vector of weights tried."""
-        many = len(next(iter(tried.values())))
-        now = spark.createDataFrame([(*own, [float(x) for w in ws for x in w]) for own, ws in tried.items()], ", ".join([*fields, "__w array<double>"]))
-        both = known.join(now, scope) if scope else known.crossJoin(now)
-        gap = lambda c: reduce(lambda a, b: a + b, [F.col("__w")[c * k + i] * F.col(m) for i, m in enumerate(models)]) - F.col("__y")
-        out = both.groupBy(*scope).agg(F.count("*").alias("n"), *(F.avg(F.abs(gap(c))).alias(f"e_{c}") for c in range(many))).collect()
-        return {tuple(r[c] for c in scope): (r["n"], [r[f"e_{c}"] for c in range(many)]) for r in out if r["n"]}
-
-    corners = [*np.eye(k), np.full(k, 1 / k)]
-    state = {}
-    for own, (n, e) in errors({own: corners for own in every}).items():
-        if n >= least_rows:
-            state[own] = {"w": corners[int(np.argmin(e))], "mae": min(e), "part": 0.5}
-
-    def moves(w: np.ndarray, part: float) -> list[np.ndarray]:
-        pairs = [w + min(part, w[i]) * (np.eye(k)[j] - np.eye(k)[i]) for i in range(k) for j in range(k) if i != j]
-        return [*pairs, *(w + part * (np.eye(k)[j] - w) for j in range(k))]
-
-    while live := {own: moves(x["w"], x["part"]) for own, x in state.items() if x["part"] >= finest}:
-        for own, (_, e) in errors(live).items():
-            x, best = state[own], int(np.argmin(e))
-            if e[best] < x["mae"] * (1 - 1e-9):
-                x["w"], x["mae"] = live[own][best], e[best]
-            else:
-                x["part"] /= 2
-    out = [(*own, m, float(state[own]["w"][i]) if own in state else 1 / k) for own in every for i, m in enumerate(models)]
-    return spark.createDataFrame(out, ", ".join([*fields, "model string", "weight double"]))
+def fit_weights_by_sums(df: DataFrame, scope: list[str], y: str, models: list[str], least_rows: int = 20, scale: Column | None = None, naive: str | None = None) -> DataFrame:
+    """M18 for scopes of any number of rows: weights that minimise the mean absolute error, scaled or not; see weights.least_error."""
+    return least_error(df, scope, y, models, scale, naive, least_rows).select(*scope, "model", "weight")
 
 
 def fit_weights(df: DataFrame, scope: list[str], y: str, models: list[str], least_rows: int = 20, steps: int = 300) -> DataFrame:
@@ -156,13 +119,25 @@ def apply_weights(long: DataFrame, keys: list[str], chain: list[tuple[DataFrame,
     return out.groupBy(*keys).agg(F.when(total > 0, F.sum(F.col("__w") * F.col("prediction")) / F.when(total > 0, total)).otherwise(F.avg("prediction")).alias("prediction"))
 
 
-def cross_validated_weights(df: DataFrame, date: str, scope: list[str], y: str, models: list[str], splits: int = 4, days: int = 30, by_sums: bool = False) -> DataFrame:
-    """Weights fitted on each of several past stretches of days and averaged; by_sums: see fit_weights_by_sums."""
+def stretches(df: DataFrame, date: str, splits: int = 4, days: int = 30) -> DataFrame:
+    """Rows of the last stretches of days, with __split: 0 for the last one, and so on."""
     last = df.agg(F.max(F.to_date(date)).alias("__last"))
     nth = F.floor(F.datediff("__last", F.to_date(date)) / days).cast("int")
-    cut = df.crossJoin(F.broadcast(last)).withColumn("__split", nth).where(F.col("__split") < splits).drop("__last")
-    fit = fit_weights_by_sums if by_sums or not scope else fit_weights
-    return fit(cut, [*scope, "__split"], y, models).groupBy(*scope, "model").agg(F.avg("weight").alias("weight"))
+    return df.crossJoin(F.broadcast(last)).withColumn("__split", nth).where(F.col("__split") < splits).drop("__last")
+
+
+def cross_validated_weights(df: DataFrame, date: str, scope: list[str], y: str, models: list[str], splits: int = 4, days: int = 30, by_sums: bool = False, scale: Column | None = None, naive: str | None = None) -> DataFrame:
+    """Weights fitted on each of several past stretches of days and averaged.
+
+    by_sums: see fit_weights_by_sums, which also takes a scale (sMAE) or a naive forecast (MASE); else each scope and stretch must be a
+    cell of few rows, fitted in one task.
+    """
+    cut = stretches(df, date, splits, days)
+    if by_sums or not scope or scale is not None or naive is not None:
+        fitted = fit_weights_by_sums(cut, [*scope, "__split"], y, models, 20, scale, naive)
+    else:
+        fitted = fit_weights(cut, [*scope, "__split"], y, models)
+    return fitted.groupBy(*scope, "model").agg(F.avg("weight").alias("weight"))
 
 
 def dominant(weights: DataFrame, scope: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..forecast import backtest as B
 from ..forecast import features as X
 from ..forecast import models as M
+from ..forecast.weights import least_error
 from ..functions import calendar as C
 from ..operators import aggregates as A
 from ..operators import joins as J
@@ -259,7 +260,7 @@ def evaluation_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def ensemble_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights fitted by site over past stretches, and the dominant model."""
-    w = M.cross_validated_weights(stored_forecasts(spark, sf_dir), "d", ["site"], "y", ["m1", "m2", "m3"], 3, 200)
+    w = M.cross_validated_weights(stored_forecasts(spark, sf_dir), "d", ["site"], "y", ["m1", "m2", "m3"], 3, 200, by_sums=True)
     return w.join(M.dominant(w, ["site"]).select("site", F.col("model").alias("dominant")), "site")
 
 
@@ -272,6 +273,36 @@ def ensemble_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.join(M.dominant(w, ["group_size"]).select("group_size", F.col("model").alias("dominant")), "group_size")
 
 
+_GRID = "(SELECT a.range / 50.0 AS w1, b.range / 50.0 AS w2, (50 - a.range - b.range) / 50.0 AS w3 FROM range(51) a, range(51) b WHERE a.range + b.range <= 50)"
+
+
+def _best_of_grid(scope: str, rows: str, error: str) -> str:
+    """DuckDB: the least error by scope that any weights of the grid of 0.02 give."""
+    return f"SELECT {scope}, n, round(min(error), 6) AS error, true AS best FROM (SELECT {scope}, w1, w2, count(*) AS n, {error} AS error FROM ({rows}), {_GRID} WHERE m2 IS NOT NULL GROUP BY ALL) GROUP BY ALL"
+
+
+_MISS = "abs(w1 * m1 + w2 * m2 + w3 * m3 - y)"
+
+
+def _errors(w: DataFrame, scope: str) -> DataFrame:
+    """best: no vector of the grid is better."""
+    return w.groupBy(scope, "n").agg(F.round(F.min("error"), 6).alias("error"), (F.max("gap") < 1e-7).alias("best"))
+
+
+@query(_best_of_grid("site", f"SELECT *, greatest(avg(y) OVER (PARTITION BY site), 1.0) AS size FROM {_FC}", f"avg({_MISS} / size)"))
+def ensemble_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The error, scaled by the site's mean, that the weights found for each site reach."""
+    f = W.group_mean(stored_forecasts(spark, sf_dir), ["site"], "y", "size")
+    return _errors(least_error(f, ["site"], "y", ["m1", "m2", "m3"], F.greatest("size", F.lit(1.0)), step=0.02), "site")
+
+
+@query(_best_of_grid("bin", f"SELECT *, h // 7 AS bin, avg(y) FILTER (m2 IS NOT NULL) OVER (PARTITION BY h // 7) AS mean FROM {_FC}", f"avg({_MISS}) / avg(abs(coalesce(CASE WHEN k % 3 <> 0 THEN m1 END, mean) - y))"))
+def ensemble_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by horizon bin, scaled by a naive forecast's error, where missing ones are the bin's mean."""
+    f = stored_forecasts(spark, sf_dir).withColumn("bin", F.floor(F.col("h") / 7)).withColumn("plain", F.when(F.col("k") % 3 != 0, F.col("m1")))
+    return _errors(least_error(f, ["bin"], "y", ["m1", "m2", "m3"], naive="plain", step=0.02), "bin")
+
+
 @query(SQL["backtest_cutoffs"])
 def backtest_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A backtest that goes on after the last cut-off of an earlier run gives what one run gives."""
