@@ -28,6 +28,8 @@ from .common import components, drop_staged, free_name, join_hot, maybe_in, read
 #: Counts of shingles are kept in at most 2^22 cells, by the first bits of their hashes; one byte a cell is sent to all tasks. They only
 #: set the order in which shingles are looked up.
 CELL_BITS, PART_BITS = 22, 10
+#: Looked-up shingles of a part, about: with many there are more than 2^PART_BITS parts.
+PART_TOKENS = 4_000_000
 #: Shingles of a block's classes together, about.
 BLOCK_SHINGLES = 1_000_000
 #: Lists of a shingle with more classes than that aren't thinned by sketches: their classes are grouped as they are.
@@ -128,10 +130,10 @@ def _counted(bits: int):
     return run
 
 
-def _prefixes(k: int, num: int, den: int, sent):
+def _prefixes(k: int, num: int, den: int, part_bits: int, sent):
     """For each class met in a task (cls, h, h2, n, central, sketch), central being how common its shingles are; and by part, in arrays, the shingles
-    of a few thousand classes that must be looked up, each with its class's number from cls on, twice, and one more if the shingle is
-    short: enough with a set of the class's size or more."""
+    of a few thousand classes that must be looked up, each with a number: its class's from cls on, times 32, then its place in
+    sixteenths of the prefix, times 2, and one more if it is short: enough with a set of the class's size or more."""
     names = ["cls", "h", "h2", "n", "central", "sketch", "part", "tokens", "owners"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,11 +146,11 @@ def _prefixes(k: int, num: int, den: int, sent):
             nonlocal cls
             yield pa.record_batch([pa.array(np.arange(cls, cls + len(rows))), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(4)), pa.array([r[4] for r in rows], pa.list_(pa.int64())), pa.nulls(len(rows), pa.int32()), *(pa.nulls(len(rows), pa.binary()) for _ in range(2))], names=names)
             token, owner = np.concatenate(tokens), np.concatenate(owners)
-            part = (token >> np.uint64(64 - PART_BITS)).astype(np.uint16)
+            part = (token >> np.uint64(64 - part_bits)).astype(np.int32)
             order = np.argsort(part, kind="stable")
-            edge = np.searchsorted(part[order], np.arange((1 << PART_BITS) + 1))
-            own = np.flatnonzero(np.diff(edge)).tolist()
-            cut = lambda x: pa.array([x[order[edge[p] : edge[p + 1]]].tobytes() for p in own], pa.binary())
+            own, edge = np.unique(part[order], return_index=True)
+            own, edge = own.tolist(), [*edge.tolist(), len(part)]
+            cut = lambda x: pa.array([x[order[a:b]].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary())
             yield pa.record_batch([pa.array([cls] * len(own), pa.int64()), *(pa.nulls(len(own), pa.int64()) for _ in range(4)), pa.nulls(len(own), pa.list_(pa.int64())), pa.array(own, pa.int32()), cut(token), cut(owner)], names=names)
             cls += len(rows)
             rows.clear(), tokens.clear(), owners.clear()
@@ -163,7 +165,8 @@ def _prefixes(k: int, num: int, den: int, sent):
                 level = levels[(own >> shift).astype(np.int64)]
                 order = np.argsort(level, kind="stable")[: n - -(-num * n // den) + 1]
                 tokens.append(own[order])
-                owners.append((2 * len(rows) + (np.arange(len(order)) <= n - -(-2 * num * n // (num + den)))).astype(np.uint32))
+                place = np.arange(len(order))
+                owners.append((len(rows) << 5 | 16 * place // len(order) << 1 | (place <= n - -(-2 * num * n // (num + den)))).astype(np.uint32))
                 rows.append((*d, n, int(16 * level.mean()), sketch(own)))
                 size += len(order)
                 if size > 1_000_000:
@@ -188,32 +191,52 @@ def may_link(a: str, b: str, num: int, den: int) -> Column:
     return reduce(lambda x, y: x + y, bits) * (den + num) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (den - num)
 
 
+def may_reach(num: int, den: int) -> Column:
+    """Whether sets x and y of which this shingle is the first common one can share enough: of each, only what follows it can be common.
+
+    place: in sixteenths of what is looked up of a set, rounded down. A pair that links passes at its first common shingle.
+    """
+    left = [F.col(f"{s}.n") - F.floor(F.col(f"{s}.place") * (F.col(f"{s}.n") - F.ceil(F.col(f"{s}.n") * num / den) + 1) / 16) for s in "xy"]
+    return F.least(*left) * (num + den) >= (F.col("x.n") + F.col("y.n")) * num
+
+
+def _paired(lists: DataFrame, may: Column) -> DataFrame:
+    """Rows of lists (token, node, n, ...) that have another one of their token with which they may link."""
+    x, y = lists.alias("x"), lists.alias("y")
+    return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") != F.col("y.node")) & may, "left_semi")
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """By part, the shingles that come more than once and somewhere short: sorted, with their number and whether they are short."""
-    held: dict[int, list] = {}
+    """Rows sorted by part -> by part, the shingles that come more than once and somewhere short, sorted."""
+    current, held = None, []
 
-    def summed(own: list) -> list:
+    def summed(own: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         token, n, short = (np.concatenate([x[i] for x in own]) for i in range(3))
         order = np.argsort(token, kind="stable")
         first = np.flatnonzero(np.r_[True, token[order][1:] != token[order][:-1]])
-        return [(token[order[first]], np.add.reduceat(n[order], first), np.maximum.reduceat(short[order], first))]
+        return token[order[first]], np.add.reduceat(n[order], first), np.maximum.reduceat(short[order], first)
+
+    def out() -> Iterator[pa.RecordBatch]:
+        if held:
+            token, n, short = summed(held)
+            keep = token[(n > 1) & (short > 0)]
+            if len(keep):
+                yield pa.record_batch([pa.array([current], pa.int32()), pa.array([keep.tobytes()], pa.binary())], names=["part", "shared"])
 
     for batch in batches:
         for part, t, o in zip(batch["part"].to_pylist(), batch["tokens"], batch["owners"], strict=True):
+            if part != current:
+                yield from out()
+                current, held = part, []
             token, owner = np.frombuffer(t.as_buffer(), np.uint64), np.frombuffer(o.as_buffer(), np.uint32)
-            own = held.setdefault(part, [])
-            own.append((token, np.ones(len(token), np.int64), (owner & 1).astype(np.uint8)))
-            if sum(len(x) for x, *_ in own[1:]) > 200_000 + len(own[0][0]):
-                own[:] = summed(own)
-    for part in sorted(held):
-        token, n, short = summed(held.pop(part))[0]
-        keep = token[(n > 1) & (short > 0)]
-        if len(keep):
-            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([keep.tobytes()], pa.binary())], names=["part", "shared"])
+            held.append((token, np.ones(len(token), np.int64), (owner & 1).astype(np.uint8)))
+            if sum(len(x) for x, *_ in held[1:]) > 200_000 + len(held[0][0]):
+                held = [summed(held)]
+    yield from out()
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by part, its shared shingles (shared not null) first -> (token, cls, short) of those shingles."""
+    """Rows sorted by part, its shared shingles (shared not null) first -> (token, cls, short, place) of those shingles."""
     current, shared = None, None
     for batch in batches:
         for part, cls, t, o, own in zip(batch["part"].to_pylist(), batch["cls"].to_pylist(), batch["tokens"], batch["owners"], batch["shared"], strict=True):
@@ -225,20 +248,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hit = shared[at] == token
                 if hit.any():
                     owner = owner[hit].astype(np.int64)
-                    yield pa.record_batch([pa.array(token[hit].view(np.int64)), pa.array(cls + (owner >> 1)), pa.array((owner & 1).astype(bool))], names=["token", "cls", "short"])
-
-
-def _token_sets(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node, tokens = [], []
-            for text, *want, n in zip(*(batch[c].to_pylist() for c in ("text", "h", "h2", "node")), strict=True):
-                own = shingle_set(text, k)
-                if set_digest(own) == tuple(want):
-                    node.append(n), tokens.append(own.tobytes())
-            yield pa.record_batch([pa.array(node, pa.int64()), pa.array(tokens, pa.binary())], names=["node", "tokens"])
-
-    return run
+                    yield pa.record_batch([pa.array(token[hit].view(np.int64)), pa.array(cls + (owner >> 5)), pa.array((owner & 1).astype(bool)), pa.array((owner >> 1 & 15).astype(np.int32))], names=["token", "cls", "short", "place"])
 
 
 class Block:
@@ -277,10 +287,10 @@ def own_groups(sets: list[np.ndarray], lead: int, num: int, den: int) -> np.ndar
     return label
 
 
-def _compared(num: int, den: int):
-    """Rows (block, node, tokens, role) sorted by block and role -> links (a, b): role 0 is a member, 1 a member that leads, 2 one that asks.
+def _compared(k: int, num: int, den: int):
+    """Rows (block, node, text, h, h2, role) sorted by block and role -> links (a, b): role 0 is a member, 1 a member that leads, 2 one that asks.
 
-    A block without asking rows is compared within itself. Only so many links are given as connect what links connect.
+    Texts take less room on their way than their shingles. A block without asking rows is compared within itself. Only so many links are given as connect what links connect.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,11 +306,13 @@ def _compared(num: int, den: int):
             return made
 
         for batch in batches:
-            for key, node, role, tokens in zip(batch["block"].to_pylist(), batch["node"].to_pylist(), batch["role"].to_pylist(), batch["tokens"], strict=True):
+            for key, node, role, h, h2, text in zip(*(batch[c].to_pylist() for c in ("block", "node", "role", "h", "h2")), batch["text"], strict=True):
                 if key != current:
                     close()
                     current, nodes, sets, lead, block = key, [], [], 0, None
-                own = np.frombuffer(tokens.as_buffer(), np.uint64)
+                own = shingle_set(text.as_py(), k)
+                if set_digest(own) != (h, h2):  # another text of the same 64 bits
+                    continue
                 if role == 2:
                     if block is None and sets:
                         block = Block(sets, num, den)
@@ -338,27 +350,27 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
         levels[part] = np.frombuffer(x.as_buffer(), np.uint8)
     sent = spark.sparkContext.broadcast(levels.ravel())
 
-    prefixes = staged(own.select("text").mapInArrow(_prefixes(k, num, den, sent), "cls long, h long, h2 long, n long, central long, sketch array<long>, part int, tokens binary, owners binary"), "prefixes")
+    part_bits = min(max(PART_BITS, (int(total) // PART_TOKENS).bit_length()), 24)
+    prefixes = staged(own.select("text").mapInArrow(_prefixes(k, num, den, part_bits, sent), "cls long, h long, h2 long, n long, central long, sketch array<long>, part int, tokens binary, owners binary"), "prefixes")
     sent.unpersist()
     null = lambda kind: F.lit(None).cast(kind)
     blobs = prefixes.where("part is not null").select("part", "cls", "tokens", "owners", null("binary").alias("shared"))
-    shared = staged(blobs.select("part", "tokens", "owners").repartition("part").mapInArrow(_shared, "part int, shared binary"), "shared")
+    shared = staged(blobs.select("part", "tokens", "owners").repartition("part").sortWithinPartitions("part").mapInArrow(_shared, "part int, shared binary"), "shared")
     both = shared.select("part", null("long").alias("cls"), null("binary").alias("tokens"), null("binary").alias("owners"), "shared").unionByName(blobs)
-    met = staged(both.repartition("part").sortWithinPartitions("part", F.col("shared").isNull()).mapInArrow(_lists, "token long, cls long, short boolean"), "met")
+    met = staged(both.repartition("part").sortWithinPartitions("part", F.col("shared").isNull()).mapInArrow(_lists, "token long, cls long, short boolean, place int"), "met")
     # a class is met in several tasks under as many numbers
     named = staged(prefixes.where("h is not null").select("cls", "h", "h2", "n", "central", "sketch").join(classes.select("h", "h2", "node"), ["h", "h2"]), "named")
-    known = staged(met.join(named.select("cls", "node", "n", "central"), "cls").groupBy("token", "node").agg(F.first("n").alias("n"), F.max("short").alias("short"), F.first("central").alias("central")), "known")
+    known = staged(met.join(named.select("cls", "node", "n", "central"), "cls").groupBy("token", "node").agg(F.first("n").alias("n"), F.max("short").alias("short"), F.min("place").alias("place"), F.first("central").alias("central")), "known")
     several = known.groupBy("token").agg(F.count("*").alias("many"), F.max("short").alias("any_short")).where("many > 1 AND any_short").select("token", "many")
     lists = staged(join_hot(known, staged(several, "several"), ["token"], "many"), "lists")
-    # in short lists, classes stay that may link with another one by their sketches; which is seen within the join, no pair is kept
-    sketches = named.join(lists.where(F.col("many") <= SHORT_LIST).select("node"), "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch"))
-    short = lists.where(F.col("many") <= SHORT_LIST).join(sketches, "node")
-    x, y = short.alias("x"), short.select("token", "node", "n", "short", "sketch").alias("y")
-    meet = (F.col("x.short") | F.col("y.short")) & (F.col("x.n") * num <= F.col("y.n") * den) & (F.col("y.n") * num <= F.col("x.n") * den)
-    likely = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") != F.col("y.node")) & meet & may_link("x", "y", num, den), "left_semi")
+    # in short lists, classes stay that may link with another one, by their places in the list and then by their sketches; that is seen
+    # within the join, no pair is kept
     every = lists
-    lists = staged(likely.select("token", "node", "n", "short", "central").unionByName(lists.where(F.col("many") > SHORT_LIST).drop("many")), "lists")
-    drop_staged(prefixes, shared, met, known, every, named)
+    near = staged(_paired(lists.where(F.col("many") <= SHORT_LIST).drop("many"), may_reach(num, den)), "near")
+    sketches = named.join(near.select("node"), "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch"))
+    likely = _paired(near.join(sketches, "node"), may_link("x", "y", num, den) & may_reach(num, den)).drop("sketch")
+    lists = staged(likely.unionByName(lists.where(F.col("many") > SHORT_LIST).drop("many")).drop("place"), "lists")
+    drop_staged(prefixes, shared, met, known, every, named, near)
 
     # groups around leaders
     leads = lists.groupBy("token").agg(F.max(F.struct("central", "node")).alias("lead"), F.count("*").alias("many"))
@@ -380,12 +392,12 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     needed = classes.join(led.select("node"), "node", "left_semi").select("k1", "h", "h2", "node")
     needed = staged(needed, "needed")
     texts = own.where(maybe_in(needed.select(F.col("k1").alias("key")), F.col("k1"))).select("k1", "text").join(needed, "k1")
-    sets = staged(texts.select("text", "h", "h2", "node").mapInArrow(_token_sets(k), "node long, tokens binary"), "sets")
+    texts = staged(texts.select("node", "h", "h2", "text"), "texts")
 
     def compared(asked: DataFrame) -> DataFrame:
         """Links of rows (block, node, role), each block in one task."""
-        own = asked.join(sets, "node").repartition("block").sortWithinPartitions("block", F.col("role") == 2, "node", F.desc("role"))
-        return own.select("block", "node", "role", "tokens").mapInArrow(_compared(num, den), "a long, b long")
+        own = asked.join(texts, "node").repartition("block").sortWithinPartitions("block", F.col("role") == 2, "node", F.desc("role"))
+        return own.select("block", "node", "role", "h", "h2", "text").mapInArrow(_compared(k, num, den), "a long, b long")
 
     links = staged(compared(members), "links")
     groups = staged(components(links), "groups")
@@ -425,7 +437,7 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     final = staged(final, "components")
     smallest = staged(final.groupBy("component").agg(F.min("smallest").alias("component_id"), F.count("*").alias("many")), "smallest")
     final = staged(join_hot(final.select("h", "h2", "rows", "component"), smallest, ["component"], "many").select("h", "h2", "rows", "component", "component_id"), "final")
-    drop_staged(classes, lists, led, first, needed, sets, links, groups, known, placed, far)
+    drop_staged(classes, lists, led, first, needed, texts, links, groups, known, placed, far)
     return rows, final
 
 
