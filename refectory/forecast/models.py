@@ -38,20 +38,46 @@ def route_by_tenant(forecasts: DataFrame, sites: DataFrame, site: str, tenant: s
     forecasts.join(sites.select(site, tenant).distinct(), site).write.mode("overwrite").partitionBy(tenant).parquet(path)
 
 
-def gbt_forecast(train: DataFrame, future: DataFrame, numeric: list[str], category: str, site: str, label: str, seed: int = 42) -> DataFrame:
-    """One boosted-tree model over all sites: numeric features, a one-hot category, the site as the mean of its labels; floor 0."""
-    means = train.groupBy(site).agg(F.avg(label).alias("__site"))
+def out_of_fold_means(train: DataFrame, group: list[str], row: list[str], label: str, name: str, folds: int = 5) -> DataFrame:
+    """Train with the mean label of each row's group over the other folds, so that no row's own label is in its feature.
+
+    row: columns that tell a group's rows apart, by whose hash rows are dealt to folds; rows that repeat one stay in its fold. A group
+    without rows in other folds has the mean over all rows of other folds.
+    """
+    dealt = train.withColumn("__fold", F.pmod(F.xxhash64(*group, *row), F.lit(folds)))
+    sums = dealt.where(F.col(label).isNotNull()).groupBy(*group, "__fold").agg(F.sum(label).alias("__s"), F.count("*").alias("__n"))
+    own = sums.groupBy(*group).agg(F.sum("__s").alias("__gs"), F.sum("__n").alias("__gn"))
+    fold = sums.groupBy("__fold").agg(F.sum("__s").alias("__fs"), F.sum("__n").alias("__fn"))
+    every = fold.agg(F.sum("__fs").alias("__as"), F.sum("__fn").alias("__an"))
+    rest = fold.crossJoin(F.broadcast(every)).select("__fold", F.try_divide(F.col("__as") - F.col("__fs"), F.col("__an") - F.col("__fn")).alias("__others"))
+    out = dealt.join(own, group, "left").join(sums, [*group, "__fold"], "left").join(F.broadcast(rest), "__fold", "left")
+    less = lambda a, b: F.col(a) - F.coalesce(b, F.lit(0))
+    mean = F.coalesce(F.try_divide(less("__gs", "__s"), less("__gn", "__n")), "__others", F.lit(0.0))
+    return out.withColumn(name, mean.cast("double")).select(*train.columns, name)
+
+
+def group_means(train: DataFrame, future: DataFrame, group: list[str], label: str, name: str) -> DataFrame:
+    """Future with the mean label of each row's group in train, or over all of train."""
+    own = train.groupBy(*group).agg(F.avg(label).alias("__own"))
     overall = train.agg(F.avg(label).alias("__all"))
-    encode = lambda df: df.join(means, site, "left").crossJoin(F.broadcast(overall)).withColumn("__site", F.coalesce("__site", "__all")).drop("__all").na.fill(0.0, numeric)
+    return future.join(own, group, "left").crossJoin(F.broadcast(overall)).withColumn(name, F.coalesce("__own", "__all", F.lit(0.0))).select(*future.columns, name)
+
+
+def gbt_forecast(train: DataFrame, future: DataFrame, numeric: list[str], category: str | list[str], site: str | list[str], label: str, date: str = "d", seed: int = 42) -> DataFrame:
+    """One boosted-tree model over all sites: numeric features, one-hot categories, the site as the mean of its labels; floor 0.
+
+    The site's mean is taken out of fold for rows that the model learns from. site: one column, or several, as tenant and site.
+    """
+    kinds, group = [category] if isinstance(category, str) else category, [site] if isinstance(site, str) else site
     stages = [
-        StringIndexer(inputCol=category, outputCol="__cat", handleInvalid="keep"), OneHotEncoder(inputCols=["__cat"], outputCols=["__hot"]),
-        VectorAssembler(inputCols=[*numeric, "__site", "__hot"], outputCol="__features", handleInvalid="keep"),
+        *(StringIndexer(inputCol=c, outputCol=f"__i_{c}", handleInvalid="keep") for c in kinds), OneHotEncoder(inputCols=[f"__i_{c}" for c in kinds], outputCols=[f"__h_{c}" for c in kinds]),
+        VectorAssembler(inputCols=[*numeric, "__site", *(f"__h_{c}" for c in kinds)], outputCol="__features", handleInvalid="keep"),
         GBTRegressor(featuresCol="__features", labelCol=label, predictionCol="prediction", maxIter=20, maxDepth=4, stepSize=0.2, seed=seed),
     ]
     # the trees pass over the rows many times
-    rows = staged(encode(train).select(*numeric, category, "__site", label), "train")
+    rows = staged(out_of_fold_means(train, group, [date], label, "__site").na.fill(0.0, numeric).select(*numeric, *kinds, "__site", label), "train")
     model = Pipeline(stages=stages).fit(rows)
-    out = model.transform(encode(future))
+    out = model.transform(group_means(train, future, group, label, "__site").na.fill(0.0, numeric))
     return out.select(*future.columns, F.greatest(F.col("prediction"), F.lit(0.0)).alias("prediction"))
 
 

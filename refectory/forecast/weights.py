@@ -22,8 +22,10 @@ TRIED, PASSES, POINTS = 10, 9, 21_000
 
 def simplex_grid(k: int, step: float = 0.005) -> np.ndarray:
     """Vectors of k multiples of 1/n that sum up to 1: of `step`, or as fine as POINTS allow."""
+    if k == 1:
+        return np.ones((1, 1))
     n = round(1 / step)
-    count = lambda n: int(np.prod([(n + i) / i for i in range(1, k)]).round()) if k > 1 else 1
+    count = lambda n: int(np.prod([(n + i) / i for i in range(1, k)]).round())
     while n > 1 and count(n) > POINTS:
         n -= 1
     bars = np.array(list(combinations(range(n + k - 1), k - 1)), int).reshape(-1, k - 1)

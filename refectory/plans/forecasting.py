@@ -366,16 +366,63 @@ def prepared_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(spark, sf_dir)
 
 
+#: Features of the boosted trees: the rolling means as known 21 or 35 days before.
+NUMERIC = ["year", "month", "day", "weekday_mean", "is_holiday", "is_public_holiday", "is_bridge", "days_before", "days_after", "ips", "is_day_usually_open"]
+VARIANTS = {21: ["mobile_mean_42_shifted_21", "daily_mobile_mean_8_shifted_4"], 35: ["mobile_mean_42_shifted_35", "daily_mobile_mean_8_shifted_6"]}
+SCHOOLS = ("nursery", "primary", "college")
+
+
+def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature frame with the index of each site's year, its school type, and a tenant."""
+    index = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 20).alias("site"), (1995 + F.col("s_suppkey") % 3).cast("int").alias("year"), F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("ips"))
+    p = J.by_year_or_latest(prepared(spark, sf_dir), index, "site", "year", "ips", 100.0)
+    kind = F.element_at(F.array(*(F.lit(x) for x in SCHOOLS)), (F.col("site") % 3 + 1).cast("int"))
+    return staged(p.withColumn("kind", kind).withColumn("tenant", F.concat(F.lit("t"), (F.col("site") % 4).cast("string"))), "prepared")
+
+
+def _forecast(spark: SparkSession, sf_dir: str, variant: int) -> DataFrame:
+    from ..operators.rows import split_by_date
+
+    train, test = split_by_date(indexed(spark, sf_dir), "d", variant)
+    return M.gbt_forecast(train, test, [*NUMERIC, *VARIANTS[variant]], "kind", "site", "v").select("site", "d", "v", "prediction")
+
+
 @query()
 def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees over all sites, for the last 35 days."""
+    """Boosted trees over all sites, for the last 35 days, from what is known 35 days before."""
+    return _forecast(spark, sf_dir, 35)
+
+
+@query()
+def gbt_forecast_21(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the last 21 days."""
+    return _forecast(spark, sf_dir, 21)
+
+
+@query(f"SELECT site, count(*) AS n, sum(v) AS total, true AS apart FROM {_ATT} GROUP BY ALL")
+def target_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each site's out-of-fold means are what is left of its labels without a fold of five, none with its own fold."""
+    a = attendance(spark, sf_dir).withColumn("v", F.col("v").cast("double"))
+    e = M.out_of_fold_means(a, ["site"], ["d"], "v", "mean").withColumn("fold", F.pmod(F.xxhash64("site", "d"), F.lit(5)))
+    folds = e.groupBy("site", "fold").agg(F.count("*").alias("n"), F.sum("v").alias("total"), F.min("mean").alias("lo"), F.max("mean").alias("hi"))
+    every = folds.groupBy("site").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.collect_list(F.struct("n", "total", "lo", "hi")).alias("folds"))
+    right = F.forall("folds", lambda f: F.abs(f["lo"] * (F.col("n") - f["n"]) - (F.col("total") - f["total"])) + F.abs(f["hi"] - f["lo"]) * F.col("n") < 1e-6 * F.col("total"))
+    return every.select("site", "n", "total", right.alias("apart"))
+
+
+@query(f"""WITH c AS (SELECT *, CAST((SELECT max(d) FROM ({SQL["prepared_features"]})) - d AS INTEGER) AS back FROM ({SQL["prepared_features"]}))
+SELECT 't' || site % 4 AS tenant, count(*) AS n, count(DISTINCT site) AS sites, sum(v) AS actual, true AS whole FROM c WHERE back < 35 GROUP BY ALL""")
+def tenant_gbt_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One boosted model over all tenants, sites encoded within their tenant, forecasts written and read by tenant."""
     from ..operators.rows import split_by_date
 
-    index = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 20).alias("site"), (1995 + F.col("s_suppkey") % 3).cast("int").alias("year"), F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("ips"))
-    p = staged(J.by_year_or_latest(prepared(spark, sf_dir), index, "site", "year", "ips", 100.0).withColumnRenamed("group_size", "kind"), "prepared")
-    train, test = split_by_date(p, "d", 35)
-    numeric = ["year", "month", "day", "mobile_mean_42_shifted_21", "daily_mobile_mean_8_shifted_4", "weekday_mean", "is_holiday", "is_public_holiday", "is_bridge", "days_before", "days_after", "ips", "is_day_usually_open"]
-    return M.gbt_forecast(train, test, numeric, "kind", "site", "v").select("site", "d", "v", "prediction")
+    own = indexed(spark, sf_dir)
+    train, test = split_by_date(own, "d", 35)
+    p = M.gbt_forecast(train, test, [*NUMERIC, *VARIANTS[35]], ["kind", "tenant"], ["tenant", "site"], "v").select("site", "d", "v", "prediction")
+    at = work_path(spark, "tenants")
+    M.route_by_tenant(p, own.select("site", "tenant"), "site", "tenant", at)
+    back = spark.read.parquet(at).groupBy("tenant")
+    return back.agg(F.count("*").alias("n"), F.countDistinct("site").alias("sites"), F.sum("v").alias("actual"), F.min(F.coalesce(F.col("prediction") >= 0, F.lit(False))).alias("whole"))
 
 
 @query()

@@ -95,3 +95,28 @@ def test_cross_validated_weights(history):
     for by_sums in (False, True):
         w = {(r.site, r.model): r.weight for r in M.cross_validated_weights(f, "d", ["site"], "v", ["m1", "m2"], 3, 40, by_sums=by_sums).collect()}
         assert all(abs(w[s, "m1"] + w[s, "m2"] - 1) < 1e-9 and w[s, "m1"] > 0.9 for s in "ab")
+
+
+def test_no_row_meets_its_own_label(spark):
+    """Out-of-fold means of groups of one row, of a few, and of rows that repeat; without a value elsewhere the mean of other folds."""
+    rng = np.random.default_rng(1)
+    rows = [(f"one{i}", i, float(rng.integers(1, 1000))) for i in range(60)] + [("few", i, float(i * i)) for i in range(9)] + [("twice", 1, 7.0)] * 4 + [("null", 1, None)]
+    df = spark.createDataFrame(rows, "s string, t int, v double")
+    own = {(r.s, r.t): r for r in M.out_of_fold_means(df, ["s"], ["t"], "v", "e").withColumn("fold", F.pmod(F.xxhash64("s", "t"), F.lit(5))).collect()}
+    assert len(own) == 60 + 9 + 2
+    every = [(own[s, t].fold, s, v) for s, t, v in rows if v is not None]
+    for (s, _), r in own.items():
+        others = [v for f, k, v in every if f != r.fold and k == s] or [v for f, _, v in every if f != r.fold]
+        assert abs(r.e - np.mean(others)) < 1e-9
+    ones = [(r.v, r.e) for (s, _), r in own.items() if s.startswith("one")]
+    assert abs(np.corrcoef(*zip(*ones, strict=True))[0, 1]) < 0.5  # with their own labels it would be 1
+    back = {r.s: r.e for r in M.group_means(df, spark.createDataFrame([("few",), ("new",)], "s string"), ["s"], "v", "e").collect()}
+    assert back["few"] == np.mean([i * i for i in range(9)]) and abs(back["new"] - np.mean([v for *_, v in every])) < 1e-9
+
+
+def test_one_model_over_tenants(history, spark, tmp_path):
+    own = history.withColumn("tenant", F.when(F.col("site") == "a", "t1").otherwise("t2")).withColumn("site", F.lit("s"))
+    cut = START + dt.timedelta(days=165)
+    out = M.gbt_forecast(own.where(F.col("d") < F.lit(cut)), own.where(F.col("d") >= F.lit(cut)), ["day", "month", "ips"], ["kind", "tenant"], ["tenant", "site"], "v")
+    assert out.count() == 70 and accurate(out)
+    assert all(abs(r.p - r.v) < 60 for r in out.groupBy("tenant").agg(F.avg("prediction").alias("p"), F.avg("v").alias("v")).collect())
