@@ -131,36 +131,40 @@ def worker_tier(kind: str, path: str, value, known: dict | None, key: object) ->
 
 
 def _frequent(size: int, longest: int = 64):
-    """Counts of pre-tokens by task: of a few hundred thousand at a time the `size` most frequent ones that come more than once."""
+    """A task's `size` most frequent pre-tokens; of some hundred thousand at a time those that come once are forgotten."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            own = [(x, n) for x, n in counts.most_common(size) if n > 1 and len(x) <= longest]
-            counts.clear()
-            return pa.record_batch([pa.array([x for x, _ in own], pa.string()), pa.array([n for _, n in own], pa.int64())], names=["chunk", "n"])
-
         for batch in batches:
             for text in batch["text"]:
                 counts.update((text.as_py() or "").split())
-                if len(counts) > 300_000:
-                    yield out()
-        yield out()
+                if len(counts) > 8 * size:
+                    counts = Counter({x: n for x, n in counts.items() if n > 1})
+                    if len(counts) > 4 * size:
+                        counts = Counter(dict(counts.most_common(2 * size)))
+        own = [(x, n) for x, n in counts.most_common(size) if n > 1 and len(x) <= longest]
+        yield pa.record_batch([pa.array([x for x, _ in own], pa.string()), pa.array([n for _, n in own], pa.int64())], names=["chunk", "n"])
 
     return run
 
 
-def frequent_lengths(docs: DataFrame, path: str, size: int = 1 << 16) -> dict[str, int]:
-    """The first tier: lengths of at most size pre-tokens, the most frequent ones over all documents.
+def frequent_lengths(docs: DataFrame, path: str, size: int = 1 << 16, sample: int = 10_000, tasks: int = 8) -> dict[str, int]:
+    """The first tier: lengths of at most size pre-tokens, the most frequent ones of a sample of about `sample` documents.
 
-    The bound is on what the driver reads and what is broadcast. The choice only decides which pre-tokens are found in the first
-    tier; no count depends on it.
+    The sample is taken by a hash of the document over all of them, so every file and source is in it, and goes to a few tasks; each
+    sends its size most frequent pre-tokens to the driver. So what is sent doesn't grow with the corpus, and no pre-token is shuffled. The
+    choice only decides which pre-tokens are found in the first tier; no count depends on it.
     """
-    counts = docs.select("text").mapInArrow(_frequent(size), "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-    own = PreTokens(path, len)
-    own.learn(r["chunk"] for r in counts.orderBy(F.desc("n"), "chunk").limit(size).collect())
-    return own.cache
+    every = docs.count()
+    own = docs.select("doc_id", "text")
+    if every > sample:
+        own = own.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) < sample)
+    counts: Counter = Counter()
+    for r in own.select("text").repartition(tasks).mapInArrow(_frequent(size), "chunk string, n long").toLocalIterator():
+        counts[r["chunk"]] += r["n"]
+    tier = PreTokens(path, len)
+    tier.learn(x for x, _ in counts.most_common(size))
+    return tier.cache
 
 
 def _counted(path: str, table, key: str):
@@ -174,8 +178,9 @@ def _counted(path: str, table, key: str):
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = 2048) -> DataFrame:
-    """docs (doc_id, text, ...) -> doc_id, n_bytes, n_tokens, over_limit, one row for each row, without any shuffle.
+    """docs (doc_id, text, ...) -> doc_id, n_bytes, n_tokens, over_limit, one row for each row, in one pass without a shuffle.
 
+    Before it a bounded sample fills the first tier, see frequent_lengths.
     Counts are those of the tokenizer at path over the whole text, without special tokens added. A null text counts as empty (0, 0).
     Other columns aren't read. path: a tokenizers file whose pre-tokens never span white space.
     """
