@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -51,6 +52,12 @@ def drop_staged(*tables: DataFrame | None) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Spark keeps the shuffle files of a job until the driver happens to collect its garbage, which it seldom does: do it now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(operator: Callable, rows: int = 1000) -> Callable:
     """The operator's eager jobs send fewer rows at a time to Python, which bounds memory where rows are whole texts or sets of shingles."""
 

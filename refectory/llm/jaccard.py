@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, drop_staged, free_name, join_hot, maybe_in, read_table, row_key, small_batches, staged, words_of
+from .common import components, drop_staged, free_name, join_hot, maybe_in, read_table, release, row_key, small_batches, staged, words_of
 
 #: Counts of shingles are kept in at most 2^22 cells, by the first bits of their hashes; one byte a cell is sent to all tasks. They only
 #: set the order in which shingles are looked up.
@@ -338,8 +338,8 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     spark, (num, den) = docs.sparkSession, threshold
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(*row_key("doc_id", "text"), "doc_id", "text")
     survey = staged(own.mapInArrow(_survey(k), "k1 long, k2 long, doc_id long, n long, h long, h2 long, part int, cells binary"), "shingles")
-    rows = survey.where("h is not null").select("k1", "k2", "doc_id", "n", "h", "h2")
-    classes = survey.where("n > 0").groupBy("h", "h2").agg(F.min("doc_id").alias("smallest"), F.min("k1").alias("k1"), F.first("n").alias("n"), F.count("*").alias("rows"))
+    rows = staged(survey.where("h is not null").select("k1", "k2", "doc_id", "n", "h", "h2"), "rows")
+    classes = rows.where("n > 0").groupBy("h", "h2").agg(F.min("doc_id").alias("smallest"), F.min("k1").alias("k1"), F.first("n").alias("n"), F.count("*").alias("rows"))
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # numbered once, when it is written
 
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -348,6 +348,8 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     levels = np.zeros((1 << PART_BITS, 1 << (bits - PART_BITS)), np.uint8)
     for part, x in zip(parts["part"].to_pylist(), parts["levels"], strict=True):
         levels[part] = np.frombuffer(x.as_buffer(), np.uint8)
+    drop_staged(survey)
+    release(spark)
     sent = spark.sparkContext.broadcast(levels.ravel())
 
     part_bits = min(max(PART_BITS, (int(total) // PART_TOKENS).bit_length()), 24)
@@ -356,10 +358,13 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     null = lambda kind: F.lit(None).cast(kind)
     blobs = prefixes.where("part is not null").select("part", "cls", "tokens", "owners", null("binary").alias("shared"))
     shared = staged(blobs.select("part", "tokens", "owners").repartition("part").sortWithinPartitions("part").mapInArrow(_shared, "part int, shared binary"), "shared")
+    release(spark)
     both = shared.select("part", null("long").alias("cls"), null("binary").alias("tokens"), null("binary").alias("owners"), "shared").unionByName(blobs)
     met = staged(both.repartition("part").sortWithinPartitions("part", F.col("shared").isNull()).mapInArrow(_lists, "token long, cls long, short boolean, place int"), "met")
     # a class is met in several tasks under as many numbers
     named = staged(prefixes.where("h is not null").select("cls", "h", "h2", "n", "central", "sketch").join(classes.select("h", "h2", "node"), ["h", "h2"]), "named")
+    drop_staged(prefixes, shared)
+    release(spark)
     known = staged(met.join(named.select("cls", "node", "n", "central"), "cls").groupBy("token", "node").agg(F.first("n").alias("n"), F.max("short").alias("short"), F.min("place").alias("place"), F.first("central").alias("central")), "known")
     several = known.groupBy("token").agg(F.count("*").alias("many"), F.max("short").alias("any_short")).where("many > 1 AND any_short").select("token", "many")
     lists = staged(join_hot(known, staged(several, "several"), ["token"], "many"), "lists")
@@ -370,7 +375,8 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     sketches = named.join(near.select("node"), "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch"))
     likely = _paired(near.join(sketches, "node"), may_link("x", "y", num, den) & may_reach(num, den)).drop("sketch")
     lists = staged(likely.unionByName(lists.where(F.col("many") > SHORT_LIST).drop("many")).drop("place"), "lists")
-    drop_staged(prefixes, shared, met, known, every, named, near)
+    drop_staged(met, known, every, named, near)
+    release(spark)
 
     # groups around leaders
     leads = lists.groupBy("token").agg(F.max(F.struct("central", "node")).alias("lead"), F.count("*").alias("many"))
@@ -393,6 +399,7 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     needed = staged(needed, "needed")
     texts = own.where(maybe_in(needed.select(F.col("k1").alias("key")), F.col("k1"))).select("k1", "text").join(needed, "k1")
     texts = staged(texts.select("node", "h", "h2", "text"), "texts")
+    release(spark)
 
     def compared(asked: DataFrame) -> DataFrame:
         """Links of rows (block, node, role), each block in one task."""
@@ -401,6 +408,7 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
 
     links = staged(compared(members), "links")
     groups = staged(components(links), "groups")
+    release(spark)
 
     # what is left: classes and the other blocks that they share shingles with
     known = led.join(groups, "node", "left").join(first.select("node", F.col("block").alias("was")), "node")
@@ -410,6 +418,7 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("was").alias("w1"), F.max("was").alias("w2"), F.count("*").alias("many")).where("lo < hi AND w1 < w2").select("token", "many")
     every, placed = placed, staged(join_hot(placed, staged(mixed, "mixed"), ["token"], "many").drop("many"), "placed")
     drop_staged(every)
+    release(spark)
     far = None
     if not placed.isEmpty():
         small = F.when(F.col("short"), F.col("n"))
