@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import catering, cleaning, deliveries, forecasting, loads, maintenance, streams, tracking  # noqa: F401  they register themselves
+from .plans import catering, cleaning, deliveries, forecasting, loads, maintenance, registrations, streams, tracking  # noqa: F401  they register themselves
 from .plans.base import QUERIES, SQL, Query
 
 
