@@ -257,11 +257,17 @@ def _centres(vectors: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.
     return c
 
 
+def nearest_centres(v: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
+    """The n nearest centres of each row of v, a thousand rows at a time."""
+    parts = [np.argsort(-(v[a : a + 1000] @ centres.T), axis=1, kind="stable")[:, :n] for a in range(0, len(v), 1000)]
+    return np.concatenate(parts) if parts else np.zeros((0, min(n, len(centres))), np.int64)
+
+
 def _nearest(centres: np.ndarray, n: int) -> object:
     def run(batches):
         for batch in batches:
             v = _matrix(batch["vec"])
-            near = np.argsort(-(v @ centres.T), axis=1, kind="stable")[:, :n] if len(v) else np.zeros((0, n), int)
+            near = nearest_centres(v, centres, n)
             yield pa.record_batch([batch["node"], batch["vec"], batch["copies"], _lists(near.astype(np.int64))], names=["node", "vec", "copies", "near"])
 
     return run
@@ -294,7 +300,7 @@ def _finer_nearest(n: int):
                     sub = np.zeros((len(v), 1), np.int64)
                 else:
                     c = centres.reshape(-1, v.shape[1])
-                    sub = 1 + np.argsort(-(v @ c.T), axis=1, kind="stable")[:, :n]
+                    sub = 1 + nearest_centres(v, c, n)
                 node = np.repeat(part["node"].to_numpy(), sub.shape[1])
                 yield pa.record_batch([pa.array(node), pa.array((cluster << 24) + sub.ravel())], names=["node", "shard"])
 
