@@ -23,13 +23,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, drop_staged, free_name, join_hot, maybe_in, read_table, release, row_key, small_batches, staged, words_of
+from .common import components, drop_staged, free_name, gives_back, join_hot, maybe_in, read_table, release, row_key, small_batches, staged, words_of
 
 #: Counts of shingles are kept in at most 2^22 cells, by the first bits of their hashes; one byte a cell is sent to all tasks. They only
 #: set the order in which shingles are looked up.
 CELL_BITS, PART_BITS = 22, 10
 #: Looked-up shingles of a part, about: with many there are more than 2^PART_BITS parts.
 PART_TOKENS = 4_000_000
+#: Shingles that a task holds before it passes them on.
+AT_ONCE = 300_000
 #: Shingles of a block's classes together, about.
 BLOCK_SHINGLES = 1_000_000
 #: Lists of a shingle with more classes than that aren't thinned by sketches: their classes are grouped as they are.
@@ -99,7 +101,7 @@ def _survey(k: int):
                 if d not in seen and len(tokens):
                     seen.add(d), waiting.append(tokens)
                     size += len(tokens)
-                    if size > 1_000_000:
+                    if size > AT_ONCE:
                         yield cells()
                         size = 0
             own = [batch["k1"], batch["k2"], batch["doc_id"], *(pa.array(x, pa.int64()) for x in (n, h, h2))]
@@ -169,7 +171,7 @@ def _prefixes(k: int, num: int, den: int, part_bits: int, sent):
                 owners.append((len(rows) << 5 | 16 * place // len(order) << 1 | (place <= n - -(-2 * num * n // (num + den)))).astype(np.uint32))
                 rows.append((*d, n, int(16 * level.mean()), sketch(own)))
                 size += len(order)
-                if size > 1_000_000:
+                if size > AT_ONCE:
                     yield from out()
                     size = 0
             if len(seen) > 500_000:
@@ -337,14 +339,14 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     """Rows (k1, k2, doc_id, n, h, h2) of docs, and classes (h, h2, rows, component, component_id) of those with shingles."""
     spark, (num, den) = docs.sparkSession, threshold
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(*row_key("doc_id", "text"), "doc_id", "text")
-    survey = staged(own.mapInArrow(_survey(k), "k1 long, k2 long, doc_id long, n long, h long, h2 long, part int, cells binary"), "shingles")
+    survey = staged(own.mapInArrow(gives_back(_survey(k)), "k1 long, k2 long, doc_id long, n long, h long, h2 long, part int, cells binary"), "shingles")
     rows = staged(survey.where("h is not null").select("k1", "k2", "doc_id", "n", "h", "h2"), "rows")
     classes = rows.where("n > 0").groupBy("h", "h2").agg(F.min("doc_id").alias("smallest"), F.min("k1").alias("k1"), F.first("n").alias("n"), F.count("*").alias("rows"))
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # numbered once, when it is written
 
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = min(max(int(total).bit_length() + 1, PART_BITS), CELL_BITS)
-    parts = survey.where("part is not null").select("part", "cells").repartition("part").mapInArrow(_counted(bits), "part int, levels binary").toArrow()
+    parts = survey.where("part is not null").select("part", "cells").repartition("part").mapInArrow(gives_back(_counted(bits)), "part int, levels binary").toArrow()
     levels = np.zeros((1 << PART_BITS, 1 << (bits - PART_BITS)), np.uint8)
     for part, x in zip(parts["part"].to_pylist(), parts["levels"], strict=True):
         levels[part] = np.frombuffer(x.as_buffer(), np.uint8)
@@ -353,14 +355,14 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     sent = spark.sparkContext.broadcast(levels.ravel())
 
     part_bits = min(max(PART_BITS, (int(total) // PART_TOKENS).bit_length()), 24)
-    prefixes = staged(own.select("text").mapInArrow(_prefixes(k, num, den, part_bits, sent), "cls long, h long, h2 long, n long, central long, sketch array<long>, part int, tokens binary, owners binary"), "prefixes")
+    prefixes = staged(own.select("text").mapInArrow(gives_back(_prefixes(k, num, den, part_bits, sent)), "cls long, h long, h2 long, n long, central long, sketch array<long>, part int, tokens binary, owners binary"), "prefixes")
     sent.unpersist()
     null = lambda kind: F.lit(None).cast(kind)
     blobs = prefixes.where("part is not null").select("part", "cls", "tokens", "owners", null("binary").alias("shared"))
-    shared = staged(blobs.select("part", "tokens", "owners").repartition("part").sortWithinPartitions("part").mapInArrow(_shared, "part int, shared binary"), "shared")
+    shared = staged(blobs.select("part", "tokens", "owners").repartition("part").sortWithinPartitions("part").mapInArrow(gives_back(_shared), "part int, shared binary"), "shared")
     release(spark)
     both = shared.select("part", null("long").alias("cls"), null("binary").alias("tokens"), null("binary").alias("owners"), "shared").unionByName(blobs)
-    met = staged(both.repartition("part").sortWithinPartitions("part", F.col("shared").isNull()).mapInArrow(_lists, "token long, cls long, short boolean, place int"), "met")
+    met = staged(both.repartition("part").sortWithinPartitions("part", F.col("shared").isNull()).mapInArrow(gives_back(_lists), "token long, cls long, short boolean, place int"), "met")
     # a class is met in several tasks under as many numbers
     named = staged(prefixes.where("h is not null").select("cls", "h", "h2", "n", "central", "sketch").join(classes.select("h", "h2", "node"), ["h", "h2"]), "named")
     drop_staged(prefixes, shared)
@@ -404,7 +406,7 @@ def _grouped(docs: DataFrame, k: int, threshold: tuple[int, int], block_shingles
     def compared(asked: DataFrame) -> DataFrame:
         """Links of rows (block, node, role), each block in one task."""
         own = asked.join(texts, "node").repartition("block").sortWithinPartitions("block", F.col("role") == 2, "node", F.desc("role"))
-        return own.select("block", "node", "role", "h", "h2", "text").mapInArrow(_compared(k, num, den), "a long, b long")
+        return own.select("block", "node", "role", "h", "h2", "text").mapInArrow(gives_back(_compared(k, num, den)), "a long, b long")
 
     links = staged(compared(members), "links")
     groups = staged(components(links), "groups")
