@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import staged
 from .tables import SnapshotTable
 
 _PART = "__part"
@@ -105,7 +104,15 @@ class KeyedTable(PartedTable):
         come later in time but are older don't revive a key. Any split of the changes into batches, in any order, gives the same table.
         Otherwise the batch's row counts, and a key that it deletes leaves the table.
         """
-        new = staged(self._first(batch), "changes")
+        at = f"{self.path}/.changes-{uuid.uuid4().hex}"  # read twice, and a batch may be costly
+        first = self._first(batch)
+        first.write.parquet(at)
+        try:
+            return self._merged(self.spark.read.schema(first.schema).parquet(at), newest)
+        finally:
+            self._fs.delete(self._path(at), True)
+
+    def _merged(self, new: DataFrame, newest: bool) -> str | None:
         touched = [r[0] for r in new.select(self.part).distinct().collect()]  # at most `buckets`
         if not touched:
             return self.version()
