@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, staged
+from .common import gives_back, read_table, staged
 from .tokens import PreTokens, word_tokenizer, worker_tier
 
 PIECE = "doc_id long, piece int, start long, length long, ids binary"
@@ -87,7 +87,8 @@ def _cut(path: str, capacity: int, end: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tier: PreTokens = worker_tier("ids", path, lambda ids: np.asarray(ids, "<u4").tobytes(), None, path)
         tail = b"" if end is None else np.asarray([end], "<u4").tobytes()
-        for batch in batches:
+        # a thousand documents at a time: their ids are held until they are passed on
+        for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
             rows = [[], [], [], [], []]
             for doc, parts in zip(batch["doc_id"].to_pylist(), tier.of(batch["text"].to_pylist()), strict=True):
                 ids = b"".join(parts) + tail
@@ -106,7 +107,7 @@ def token_pieces(docs: DataFrame, capacity: int = 4096, path: str | None = None,
     A null text is empty, and then only the end id, if there is one; documents without any id have no piece.
     """
     path = path or word_tokenizer()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(path, capacity, end), PIECE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(gives_back(_cut(path, capacity, end)), PIECE)
 
 
 def pack(pieces: DataFrame, capacity: int = 4096, carry: list[Column] | None = None, slice_rows: int = 50_000) -> DataFrame:
