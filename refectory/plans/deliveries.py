@@ -161,6 +161,7 @@ def stat_effect_cred_1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     t = domain(spark, sf_dir)
     code: Column = F.concat(F.lit("c"), "login_site")
-    stats = t["effect"].groupBy(F.to_date("efdate").alias("datej"), S.code(F.col("codss1")).alias("codss1"), S.code(F.col("codss2")).alias("codss2"), code.alias("code_site"), "login_site").agg(F.sum("efreel").alias("efreel"))
+    effect = t["effect"].select(F.to_date("efdate").alias("datej"), S.code(F.col("codss1")).alias("codss1"), S.code(F.col("codss2")).alias("codss2"), code.alias("code_site"), "login_site", "efreel")
+    stats = effect.repartition(R.tasks(t["effect"]), "datej", "login_site").groupBy("datej", "codss1", "codss2", "code_site", "login_site").agg(F.sum("efreel").alias("efreel"))
     wide = R.stat_effect_cred_1(t, stats, R.stats_fcj59_detail(t))
     return wide.groupBy("login_site", "nometabs", "codss1", "codss2", "libss1", "libss2").agg(F.count("*").alias("days"), F.sum("efreel").alias("efreel"), F.sum("nb_eleves").alias("nb_eleves"), F.sum("nb_commensaux").alias("nb_commensaux"), F.max("detail_date_import").alias("last_import"))
