@@ -42,3 +42,22 @@ def test_candidates_are_the_best_of_all(spark):
     assert got == want
     n = J.fuzzy_pruning(q, p, "org", "f", "l", "b").first()
     assert n.pairs == sum(1 for x in queries for y in people if x[1] == y[1]) and n.scored < n.pairs
+
+
+def test_parts_of_a_block_give_what_the_block_gives(spark, monkeypatch):
+    """Every query meets every person of its block once, in groups of bounded size; equal names are told apart by id."""
+    rng = random.Random(5)
+    own = names(rng, 12)
+    p = spark.createDataFrame([(i, i % 2, rng.choice(own), rng.choice(own), rng.choice([None, 1, 2])) for i in range(600)], "person_id int, org int, f string, l string, b int")
+    q = p.where("person_id % 20 = 0").withColumnRenamed("person_id", "query_id")
+    want = {tuple(r) for r in J.fuzzy_candidates(q, p, "org", "f", "l", "b").collect()}
+    monkeypatch.setattr(J, "QUERIES_AT_ONCE", 4)
+    monkeypatch.setattr(J, "PEOPLE_AT_ONCE", 50)
+    assert {tuple(r) for r in J.fuzzy_candidates(q, p, "org", "f", "l", "b").collect()} == want
+    assert J.fuzzy_pruning(q, p, "org", "f", "l", "b").first().pairs == 30 * 300
+    assert "Window" not in J._matched(q, p, "org", "f", "l", "b", 5, 10, False)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_similarities_of_many_names_are_those_of_each():
+    own = [x for x in names(random.Random(6), 1500) if x is not None]
+    assert all(J._similarities(x, own).tolist() == [J._similarity(x, b) for b in own] for x in own[:60] + ["A", "ÉÉ", "M" * 9])
