@@ -503,6 +503,18 @@ def test_maximal_segments(seed):
     assert sorted(round(s, 6) for *_, s in got) == sorted(round(s, 6) for *_, s in maximal(0, 40))
 
 
+def test_logistic_step_settles_on_texts_told_apart():
+    """Whole Newton steps swing between two points here, and which one is last decides about every text."""
+    r = np.random.default_rng(5)
+    best = np.concatenate([np.full(17_000, -5.0), r.uniform(-5, 2, 580), np.exp(r.uniform(np.log(2.3), np.log(260), 1900))])
+    x = np.stack([np.ones_like(best), best, np.log1p(np.maximum(best, 0))], 1)
+    y = (best > 2.2).astype(float)
+    w = np.array(toxicity._logistic(x, y))
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -700, 700)))
+    assert np.abs(x.T @ (y - p) - 1e-3 * w).max() < 1e-4  # where the slope is nought
+    assert ((p >= 0.3) == (y > 0)).all()
+
+
 def test_toxicity(spark, documents, nothing):
     rng = random.Random(2)
     texts = [(i, " ".join(rng.choice(["vile", "nasty", "rotten"]) if i % 5 == 0 and rng.random() < 0.15 else f"plain{rng.randrange(300)}" for _ in range(80))) for i in range(400)]
