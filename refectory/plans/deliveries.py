@@ -21,8 +21,8 @@ def domain(spark: SparkSession, sf_dir: str) -> R.Tables:
     settings = F.explode(F.array(*(F.struct(F.lit(k).alias("nomfic"), F.lit(v).alias("every")) for k, v in BY_SITE.items())))
     descfic = nation.select("n_nationkey", settings.alias("s")).where("s.nomfic <> 'CATEG' OR n_nationkey <> 24")
     descfic = descfic.select("s.nomfic", group("n_nationkey").alias("login_group"), F.when(F.col("n_nationkey") % F.col("s.every") == 0, 2).otherwise(1).alias("statut"))
-    # those who keep a table: every group and every site
-    keepers = nation.select(group("n_nationkey").alias("login_site"), F.lit("G").alias("by")).unionByName(supplier.select(text("s_suppkey").alias("login_site"), F.lit("S").alias("by")))
+    # those who keep a table: every group and every site, dealt out as the many rows that are made of each would else be one task's
+    keepers = nation.select(group("n_nationkey").alias("login_site"), F.lit("G").alias("by")).unionByName(supplier.select(text("s_suppkey").alias("login_site"), F.lit("S").alias("by"))).repartition(spark.sparkContext.defaultParallelism)
     few = lambda n: keepers.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
     site = text("l_suppkey").alias("login_site")
     movement = li.select(site, (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("mvcleunik"), F.col("l_partkey").alias("arcleunik"), (F.col("l_partkey") % 50).cast("int").alias("f_ocleunik"), F.col("l_shipdate").alias("dtemvt"),

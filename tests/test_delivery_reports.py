@@ -28,3 +28,14 @@ def test_a_large_fact_goes_into_more_tasks(spark, monkeypatch):
     monkeypatch.setattr(R, "ROWS_A_TASK", 500)
     n = math.ceil(t["effect"].count() / 500)
     assert R.tasks(t["effect"]) == n
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_rows_of_a_lookup_are_dealt_out_before_they_are_sorted(spark, name):
+    """A sorted sum right above the rows that are made of the sites would hold them all in the one task that made them."""
+    plan = registry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = [i for i, x in enumerate(plan) if re.search(r"SortAggregate\(.*partial_first\((lib|type|egalim)", x)]
+    assert at or name == "stats_fcj59_detail"
+    for i in at:
+        below = [re.sub(r"^[\s:+-]*", "", x) for x in plan[i + 1 :]][:3]
+        assert any(x.startswith("Exchange hashpartitioning(login_site") for x in below), below
