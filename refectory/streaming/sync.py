@@ -17,9 +17,10 @@ def one_path(path: str) -> str:
     return f"{path[:-1]}[{path[-1]}]"
 
 
-def landed(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
-    """A stream of the Parquet files at path."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", max_files).parquet(one_path(path))
+def landed(spark: SparkSession, path: str, max_files: int | None = 100) -> DataFrame:
+    """A stream of the Parquet files at path, at most max_files of them in a batch; None: all that are there."""
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    return (stream if max_files is None else stream.option("maxFilesPerTrigger", max_files)).parquet(one_path(path))
 
 
 def sync(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> None:

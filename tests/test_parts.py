@@ -1,11 +1,13 @@
 """Tables in parts, change batches in every order, and streams with watermarks."""
 
 import datetime as dt
+import glob
 import itertools
 
 from pyspark.sql import functions as F
 
 from refectory.operators.parts import KeyedTable, PartedTable, slices
+from refectory.plans import streams
 from refectory.streaming import sync as T
 
 
@@ -135,3 +137,17 @@ def test_latest_times_are_kept_up_to_date(spark, tmp_path):
         land(spark, at, *own)
         T.sync(T.landed(spark, at, 1).select("kind", "ts"), T.latest_batches(t, ["kind"], "ts"), str(tmp_path / "stream"))
     assert rows(t.read()) == sorted([("x", day(5)), ("y", day(9)), (None, day(1))], key=str)
+
+
+def test_parts_land_in_many_files_and_in_one_batch_each(spark, tmp_path):
+    """A single task would write each part, and a batch of some of its files would move the watermark past its others."""
+    events = [(i, day(i % 30, i % 24), "x") for i in range(3000)]
+    src = str(tmp_path / "sf")
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, kind string").repartition(3).write.parquet(f"{src}/events.parquet")
+    at, files = str(tmp_path / "in"), []
+    for _ in streams.landed_in_turn(spark, src, f"{at}/landed", 4, again=7):
+        stream = streams._timed(T.landed(spark, f"{at}/landed", None))
+        got = T.appended(T.without_repeats(stream, "ts", ["event_id"], "7 days"), at)
+        files.append(len(glob.glob(f"{at}/landed/*.parquet")))
+    assert len(files) == 4 and all(b - a > 1 for a, b in zip([0, *files], files))
+    assert got.count() == got.select("event_id").distinct().count() == 3000
