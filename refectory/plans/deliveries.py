@@ -29,7 +29,8 @@ def domain(spark: SparkSession, sf_dir: str) -> R.Tables:
         F.when(F.col("l_linenumber") < 6, "1").otherwise("2").alias("typmvt"), F.col("l_quantity").alias("qtef"), (F.col("l_discount") * 100).alias("puf"), (F.col("l_tax") * 100).alias("taux_tva"), F.col("l_quantity").alias("qteusart"),
         (F.col("l_returnflag") == "R").alias("bio"), F.when(F.col("l_linenumber") == 1, F.col("l_linestatus") == "F").alias("circuit_court"), (F.col("l_linenumber") % 3).cast("int").alias("id_label"), (F.col("l_linenumber") % 4).cast("int").alias("id_origine"))
     # articles: each part for every group, and for the sites that received it
-    had = li.select(site, F.col("l_partkey").alias("p_partkey")).distinct().join(part, "p_partkey").unionByName(part.crossJoin(nation.select(group("n_nationkey").alias("login_site"))))
+    # told apart and joined in tasks that grow with the lines: a reader's share of lines, or the session's number of tasks, would not do
+    had = li.select(site, F.col("l_partkey").alias("p_partkey")).repartition(R.tasks(li), "p_partkey").distinct().join(part.hint("merge"), "p_partkey").unionByName(part.crossJoin(nation.select(group("n_nationkey").alias("login_site"))))
     code = F.concat(F.lit(" "), (F.col("p_size") % 25).cast("string"))
     article = had.select("login_site", F.col("p_partkey").alias("arcleunik"), F.concat(F.lit("c"), text("p_partkey")).alias("codart"), code.alias("codfamart"), F.col("p_brand").alias("sfaart"), (F.col("p_size") % 5 == 0).alias("bio"), F.when(F.col("p_size") % 2 == 0, "KG ").otherwise("L").alias("usart"), (F.col("p_size") % 3 * 0.5).alias("usart_vers_ufam"))
     detail = had.where("p_partkey % 3 = 0").select("login_site", F.concat(F.lit("c"), text("p_partkey")).alias("codart"), (F.col("p_size") % 7 == 0).alias("circuit_court"), (F.col("p_size") % 4).cast("int").alias("id_label"), (F.col("p_size") % 6).cast("int").alias("id_origine"))

@@ -51,3 +51,31 @@ def test_labels_of_a_group_are_looked_up_in_parts(spark, monkeypatch):
     got = own()
     assert [r[:-2] for r in got] == [r[:-2] for r in want]
     assert [x for r in got for x in r[-2:]] == pytest.approx([x for r in want for x in r[-2:]])
+
+
+@pytest.mark.parametrize("name", ["stats_liv_annee", "stats_liv_egalim", "stats_liv_egalim_jour", "stat_effect_cred_1"])
+def test_what_a_group_keeps_few_of_is_looked_up_in_parts(spark, monkeypatch, name):
+    """A group has the same few families and suppliers however many movements there are: one key's rows would be one task's."""
+    key = lambda r: [(x is not None, str(x)) for x in r if not isinstance(x, float)]
+    own = lambda: sorted(registry.queries()[name](spark, DATA).collect(), key=key)
+    want = own()
+    monkeypatch.setattr(R, "ROWS_A_TASK", 200)
+    plan = registry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    for x in ("codcateg", "annee", "codss1", "codss2") if name == "stat_effect_cred_1" else ("f_ocleunik", "famille_article"):
+        assert re.search(rf"SortMergeJoin \[__route#\d+, {x}#\d+, __part", plan), x
+    got = own()
+    assert [key(r) for r in got] == [key(r) for r in want]
+    assert [x for r in got for x in r if isinstance(x, float)] == pytest.approx([x for r in want for x in r if isinstance(x, float)], abs=0.011)  # shares are rounded
+
+
+@pytest.mark.parametrize("name", ["stats_liv_annee", "stats_liv_egalim", "stats_liv_egalim_jour"])
+def test_articles_of_sites_are_told_apart_in_tasks_that_grow(spark, monkeypatch, name):
+    """A sum over what one task reads of the lines, or over a fixed number of tasks, would hold more for more lines."""
+    monkeypatch.setattr(R, "ROWS_A_TASK", 500)
+    n = R.tasks(domain(spark, DATA)["mvtart"])
+    plan = registry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"Exchange hashpartitioning\(p_partkey#\d+L?, {n}\), REPARTITION_BY_NUM", plan)
+    assert not re.search(r"Broadcast\w*Join \[p_partkey", plan)
+    lines = plan.splitlines()
+    at = [i for i, x in enumerate(lines) if re.search(r"HashAggregate\(keys=\[login_site#\d+, p_partkey#\d+L?\]", x)]
+    assert at and not any("Exchange" in lines[i + 1] and "REPARTITION_BY_NUM" not in lines[i + 1] for i in at)
