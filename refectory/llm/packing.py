@@ -83,9 +83,15 @@ def packing_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return runs
 
 
+def _words(ids: list[int], ends: list[int]) -> list[bytes]:
+    """The ids of each word as bytes; all are turned into bytes once."""
+    raw = np.asarray(ids, "<u4").tobytes()
+    return [raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def _cut(path: str, capacity: int, end: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tier: PreTokens = worker_tier("ids", path, lambda ids: np.asarray(ids, "<u4").tobytes(), None, path)
+        tier: PreTokens = worker_tier("ids", path, lambda ids: np.asarray(ids, "<u4").tobytes(), None, path, _words)
         tail = b"" if end is None else np.asarray([end], "<u4").tobytes()
         # a thousand documents at a time: their ids are held until they are passed on
         for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):

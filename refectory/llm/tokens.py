@@ -6,6 +6,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +36,15 @@ class PreTokens:
 
     known: values given beforehand, which stay. Others are encoded once and kept until CACHE of them are there. Values add up: a
     chunk of letters with punctuation around is the sum of its parts, so that a word is encoded once for all its forms.
+    cut: values of many words at once, from all their ids and where each word ends; it has to give what value gives.
     """
 
-    def __init__(self, path: str, value, known: dict | None = None):
+    def __init__(self, path: str, value, known: dict | None = None, cut=None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.value, self.known = Tokenizer.from_file(path), value, known or {}
+        self.cut = cut or (lambda ids, ends: [value(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)])
         self.cache, self.words = dict(self.known), {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -60,8 +63,7 @@ class PreTokens:
             if len(ends) != len(part):  # not one run of tokens for each word
                 out += self.encode(part)
             else:
-                ends = ends.tolist()
-                out += [self.value(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                out += self.cut(ids, ends.tolist())
         return out
 
     def learn(self, chunks: Iterable[str]) -> None:
@@ -70,63 +72,76 @@ class PreTokens:
         if len(self.cache) - len(self.known) + len(self.words) + len(new) > CACHE:
             self.cache, self.words = dict(self.known), {}
             new = [x for x in chunks if x not in self.cache]
-        split, whole, words, rest = [], [], set(), set()
-        for x in new:
+        plain = [x for x in new if x.isascii() and x.isalpha()]  # most: nothing to strip
+        low = [x.lower() for x in plain]
+        split, whole, words, rest = [], [], set(low), set()
+        for x in new if len(plain) < len(new) else ():
+            if x.isascii() and x.isalpha():
+                continue
             word = x.strip(PUNCTUATION)
             # below U+0130 letters are lower-cased one by one and need no normalisation
             if word.isalpha() and (word.isascii() or max(word) < "\u0130"):
                 i = x.index(word)
                 if "'" not in x[:i]:  # else it may join the letters
-                    lead, low, trail = x[:i], word.lower(), x[i + len(word) :]
-                    split.append((x, lead, low, trail))
-                    words.add(low)
-                    rest.update((lead, trail))
+                    lead, letters, trail = x[:i], word.lower(), x[i + len(word) :]
+                    split.append((x, lead, letters, trail))
+                    words.add(letters)
+                    rest.add(lead)
+                    rest.add(trail)
                     continue
             whole.append(x)
         for group, encode in ((words, self.encode_words), (rest, self.encode)):
             group = [x for x in group if x not in self.words]
             self.words.update(zip(group, encode(group), strict=True))
         own = self.words
-        self.cache.update((x, own[a] + own[b] + own[c]) for x, a, b, c in split)
+        self.cache.update(zip(plain, map(own.__getitem__, low), strict=True))
+        for x, a, b, c in split:
+            self.cache[x] = own[a] + own[b] + own[c] if a else own[b] + own[c]
         for at in range(0, len(whole), 4096):
             part = whole[at : at + 4096]
             self.cache.update(zip(part, self.encode(part), strict=True))
 
     def of(self, texts: list[str | None]) -> Iterator[list]:
         """For each text the values of its pre-tokens, in order; one value where it is encoded whole."""
-        waiting: list[str] = []
-        for text in texts:  # the misses of many texts are encoded together
-            if text and not ODD.search(text):
-                waiting += [x for x in text.split() if x not in self.cache]
-                if len(waiting) > CACHE // 4:
-                    break
-        if waiting:
-            self.learn(waiting)
-        for text in texts:
-            if not text:
-                yield []
-            elif ODD.search(text):
-                yield self.encode([text])
-            else:
-                chunks = text.split()
-                try:
-                    yield [self.cache[x] for x in chunks]
-                except KeyError:
-                    out = []
-                    for at in range(0, len(chunks), CACHE // 4):  # no more at once than the cache holds
-                        part = chunks[at : at + CACHE // 4]
-                        self.learn(part)
-                        out += [self.cache[x] for x in part]
-                    yield out
+        at = 0
+        while at < len(texts):
+            # each text is split once; the misses of many texts are encoded together
+            part, held = [], 0
+            while at < len(texts) and held <= CACHE // 4:
+                text = texts[at]
+                part.append(None if not text else text if ODD.search(text) else text.split())
+                held += len(part[-1]) if isinstance(part[-1], list) else 0
+                at += 1
+            new = set(chain.from_iterable(x for x in part if isinstance(x, list))).difference(self.cache)
+            if new and len(new) <= CACHE // 4:
+                self.learn(new)
+            for chunks in part:
+                if chunks is None:
+                    yield []
+                elif isinstance(chunks, str):
+                    yield self.encode([chunks])
+                else:
+                    try:
+                        yield list(map(self.cache.__getitem__, chunks))
+                    except KeyError:
+                        yield self._long(chunks)
+
+    def _long(self, chunks: list[str]) -> list:
+        out = []
+        for at in range(0, len(chunks), CACHE // 4):  # no more at once than the cache holds
+            part = chunks[at : at + CACHE // 4]
+            self.learn(part)
+            out += [self.cache[x] for x in part]
+        return out
 
 
 _WORKER: dict = {}
 
 
-def worker_tier(kind: str, path: str, value, known: dict | None, key: object) -> PreTokens:
+def worker_tier(kind: str, path: str, value, known: dict | None, key: object, cut=None) -> PreTokens:
     """The PreTokens that this worker process already has, or new ones."""
     if _WORKER.get((kind, path), (None,))[0] != key:
-        _WORKER[kind, path] = (key, PreTokens(path, value, known))
+        _WORKER[kind, path] = (key, PreTokens(path, value, known, cut))
     return _WORKER[kind, path][1]
 
 

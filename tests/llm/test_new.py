@@ -199,3 +199,38 @@ def test_ledger_scans_only_what_it_lacks(spark, tmp_path):
     got = scanned("one", one, changed)
     assert got == bag((p, v, tuple(x for x in brute_spans(t) if x[0] != "hex" or x[2] - x[1] >= 20)) for p, v, t in one)
     assert sum(pairs_of().values()) == 3 * 5 + 3  # the changed rule met three blobs of the first table
+
+
+def test_a_text_is_split_once_and_words_are_cut_together(monkeypatch):
+    """Values are those of the tokenizer over the whole text, also when the cache starts anew; most of the time went into doing it twice."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from refectory.llm import packing, tokens
+
+    split, valued = [], []
+
+    class Text(str):
+        def split(self, *args):
+            split.append(str(self))
+            return str.split(self, *args)
+
+    def value(ids):
+        valued.append(ids)
+        return np.asarray(ids, "<u4").tobytes()
+
+    path = tokens.word_tokenizer()
+    texts = ["The cat's (Hat), the HAT. café İstanbul x1 ab\x1ccd été", "one two three four five", "", None, "'quoted' isn’t 中文 <unk> [UNK]", " ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}" for i in range(300))]
+    whole = Tokenizer.from_file(path)
+    want = [np.asarray(whole.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    tier = tokens.PreTokens(path, value, None, packing._words)
+    assert [b"".join(x) for x in tier.of([None if x is None else Text(x) for x in texts])] == want
+    assert sorted(split) == sorted(x for x in texts if x and "\x1c" not in x)
+    valued.clear()
+    assert [b"".join(x) for x in tier.of(["plain words only zyx"])] == [np.asarray(whole.encode("plain words only zyx", add_special_tokens=False).ids, "<u4").tobytes()]
+    assert not valued
+    monkeypatch.setattr(tokens, "CACHE", 40)
+    for size in (1, len(texts)):
+        small = tokens.PreTokens(path, len)
+        got = [sum(x) for at in range(0, len(texts), size) for x in small.of(texts[at : at + size])]
+        assert got == [len(x) // 4 for x in want]
