@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+import string
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -46,6 +48,10 @@ class PreTokens:
         self.tokenizer, self.value, self.known = Tokenizer.from_file(path), value, known or {}
         self.cut = cut or (lambda ids, ends: [value(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)])
         self.cache, self.words = dict(self.known), {}
+        # whether a run of a-z reaches the model as it is, so that the model alone encodes it
+        a, t = string.ascii_lowercase, self.tokenizer
+        same = t.normalizer is None or t.normalizer.normalize_str(a) == a
+        self.bare = same and t.pre_tokenizer is not None and [x for x, _ in t.pre_tokenizer.pre_tokenize_str(a)] == [a] and t.post_processor is None
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
@@ -54,8 +60,17 @@ class PreTokens:
         return [self.value(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_words(self, words: list[str]) -> list:
-        """Values of words of letters only: encoded together, and told apart by the tokens that end a word."""
+        """Values of words of lower-case letters only: by the model alone, or encoded together and told apart by the tokens that end a word."""
         out = []
+        if self.bare and all(map(str.isascii, words)):
+            tokenize = self.tokenizer.model.tokenize
+            for at in range(0, len(words), 1000):
+                ids, ends = [], []
+                for x in words[at : at + 1000]:
+                    ids += [t.id for t in tokenize(x)]
+                    ends.append(len(ids))
+                out += self.cut(ids, ends)
+            return out
         for at in range(0, len(words), 1000):
             part = words[at : at + 1000]
             ids = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
@@ -67,7 +82,16 @@ class PreTokens:
         return out
 
     def learn(self, chunks: Iterable[str]) -> None:
-        chunks = set(chunks)
+        """Makes and keeps the values of chunks. Nothing here goes in circles, so looking for that, again and again, is put off."""
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            self._learn(set(chunks))
+        finally:
+            if on:
+                gc.enable()
+
+    def _learn(self, chunks: set[str]) -> None:
         new = [x for x in chunks if x not in self.cache]
         if len(self.cache) - len(self.known) + len(self.words) + len(new) > CACHE:
             self.cache, self.words = dict(self.known), {}
@@ -90,7 +114,8 @@ class PreTokens:
                     rest.add(trail)
                     continue
             whole.append(x)
-        for group, encode in ((words, self.encode_words), (rest, self.encode)):
+        plainest = {x for x in words if x.isascii()}
+        for group, encode in ((plainest, self.encode_words), (words - plainest, self.encode_words), (rest, self.encode)):
             group = [x for x in group if x not in self.words]
             self.words.update(zip(group, encode(group), strict=True))
         own = self.words

@@ -234,3 +234,16 @@ def test_a_text_is_split_once_and_words_are_cut_together(monkeypatch):
         small = tokens.PreTokens(path, len)
         got = [sum(x) for at in range(0, len(texts), size) for x in small.of(texts[at : at + size])]
         assert got == [len(x) // 4 for x in want]
+
+
+def test_words_go_to_the_model_alone():
+    from tokenizers import Tokenizer
+
+    from refectory.llm import tokens
+
+    path = tokens.word_tokenizer()
+    words = [f"{a}{b}{c}x" * n for a in "aqz" for b in "eiu" for c in "stv" for n in (1, 3, 40)]
+    tier, whole = tokens.PreTokens(path, tuple), Tokenizer.from_file(path)
+    assert tier.bare
+    assert tier.encode_words(words) == [tuple(whole.encode(x, add_special_tokens=False).ids) for x in words]
+    assert tier.encode_words([*words, "été"])[-1] == tuple(whole.encode("été", add_special_tokens=False).ids)
