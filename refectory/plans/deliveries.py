@@ -40,7 +40,7 @@ def domain(spark: SparkSession, sf_dir: str) -> R.Tables:
     supply = few(50).select("login_site", i.alias("f_ocleunik"), F.concat(F.lit(" "), "by", F.col("i").cast("string")).alias("libfou"), (i % 7 == 0).alias("bio"), F.lit(None).cast("boolean").alias("circuit_court"), (i % 5).alias("id_label"))
     famart = few(25).select("login_site", F.col("i").cast("string").alias("codfamart"), F.concat("by", F.lit("-F"), F.col("i").cast("string")).alias("libfamart"), (i % 4).alias("type"), F.when(i % 5 < 4, "6011 ").otherwise("602").alias("cptfam_1"))
     brands = part.select("p_brand", (F.col("p_size") % 25).cast("string").alias("codfamart")).distinct()
-    sfaart = keepers.crossJoin(brands).select("login_site", "codfamart", F.col("p_brand").alias("sfaart"), F.concat("by", F.lit("-"), "p_brand").alias("libsfaart"), F.when(F.col("p_brand") == "Brand#13", 2).alias("type"))
+    sfaart = keepers.crossJoin(F.broadcast(brands)).select("login_site", "codfamart", F.col("p_brand").alias("sfaart"), F.concat("by", F.lit("-"), "p_brand").alias("libsfaart"), F.when(F.col("p_brand") == "Brand#13", 2).alias("type"))
     label = few(5).select("login_site", i.alias("id_label"), (i % 2 == 1).alias("egalim"))
     effect = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_effect"), F.col("l_shipdate").alias("efdate"), F.concat(F.lit(" 0"), (F.col("l_linenumber") % 3 + 1).cast("string")).alias("codss1"), (F.col("l_linenumber") % 6 + 1).cast("string").alias("codss2"), site, F.concat(F.lit("C"), (F.col("l_partkey") % 6).cast("string"), F.lit(" ")).alias("codcat"),
         F.col("l_quantity").alias("efreel"), (F.col("l_quantity") + 1).alias("eftheo"), F.col("l_discount").alias("credit"), F.lit(1).alias("typfac"), F.lit("o").alias("origine"), F.when(F.col("l_linenumber") == 1, F.col("l_shipdate")).alias("date_import"), F.lit(None).cast("timestamp").alias("date_modif"), (F.col("l_partkey") % 3).alias("codcli"))
@@ -72,25 +72,25 @@ _SUMS = "sum(qte) AS qte, sum(montant) AS montant, sum(montantht) AS montantht"
 @query(f"{_DEL} SELECT annee, semaine, {_SITE}, {_FAMILY}, bio, clocal, label1, {_SUMS} FROM d GROUP BY ALL")
 def stats_liv59(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Received goods by week, site, family and origin, each lookup by site or group."""
-    return R.stats_liv59(R.deliveries(domain(spark, sf_dir)))
+    return R.stats_liv59(R.deliveries(domain(spark, sf_dir))).drop("__part")
 
 
 @query(f"{_DEL} SELECT annee, semaine, {_SITE}, {_FAMILY}, bio, clocal, label1, libfou, idfou, {_SUMS} FROM d WHERE jour >= DATE '1995-01-01' AND jour < DATE '1996-01-01' GROUP BY ALL")
 def stats_liv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By week and supplier, of one year's slice."""
-    return R.stats_liv(R.deliveries(domain(spark, sf_dir), "1995-01-01", "1996-01-01"))
+    return R.stats_liv(R.deliveries(domain(spark, sf_dir), "1995-01-01", "1996-01-01")).drop("__part")
 
 
 @query(f"{_DEL} SELECT annee, mois, {_SITE}, {_FAMILY}, bio, clocal, label1, idorigine, libfou, idfou, {_SUMS} FROM d GROUP BY ALL")
 def stats_liv_mois(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By month, supplier and place of origin."""
-    return R.stats_liv_mois(R.deliveries(domain(spark, sf_dir)))
+    return R.stats_liv_mois(R.deliveries(domain(spark, sf_dir))).drop("__part")
 
 
 @query(f"{_DEL} SELECT annee, {_SITE}, {_FAMILY}, bio, clocal, label1, idorigine, libfou, idfou, {_SUMS} FROM d GROUP BY ALL")
 def stats_liv_annee(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By year, supplier and place of origin."""
-    return R.stats_liv_annee(R.deliveries(domain(spark, sf_dir)))
+    return R.stats_liv_annee(R.deliveries(domain(spark, sf_dir))).drop("__part")
 
 
 _KINDS = {"local": "clocal = 1", "bio": "bio = 1", "egalim": "bio = 1 OR clocal = 1 OR label1 <> 0", "bio_local": "bio = 1 AND clocal = 1"}
@@ -101,13 +101,13 @@ _SHARES = ", ".join(f"CASE WHEN montant = 0 THEN 0 ELSE round({k}_valeur / monta
 @query(f"{_DEL}, e AS (SELECT annee, semaine, {_EGALIM}) SELECT *, {_SHARES} FROM e")
 def stats_liv_egalim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of local, organic and labelled goods by week."""
-    return R.stats_liv_egalim(R.stats_liv59(R.deliveries(domain(spark, sf_dir))))
+    return R.stats_liv_egalim(R.stats_liv59(R.deliveries(domain(spark, sf_dir)))).drop("__part")
 
 
 @query(f"{_DEL}, e AS (SELECT jour, {_EGALIM}) SELECT *, {_SHARES} FROM e")
 def stats_liv_egalim_jour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same by day."""
-    return R.stats_liv_egalim(R.deliveries(domain(spark, sf_dir)), "jour")
+    return R.stats_liv_egalim(R.deliveries(domain(spark, sf_dir)), "jour").drop("__part")
 
 
 _DASH = f"""{_DEL}, a AS (SELECT annee, logingroup AS login_group, count(DISTINCT code_site) AS nb_site, CASE WHEN CAST(famille_article AS INTEGER) % 4 = 1 THEN 'viande' WHEN CAST(famille_article AS INTEGER) % 4 = 2 OR sous_famille_article = 'Brand#13' THEN 'poisson' ELSE 'autre' END AS type_produit,
